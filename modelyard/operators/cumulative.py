@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = 10  # 2**LEVELS buckets per key
 MAX_KEYS = 10_000
+# Rows of one key that a single task may sort; beyond it the key gets 2**levels buckets.
+TASK_ROWS = 1_000_000
+MAX_LEVELS = 12
+
+
+def _few_keys(per_key: DataFrame, keys: list[str]) -> list:
+    """Rows of a frame with one row per key; keys are few (features, types): checked."""
+    rows = per_key.limit(MAX_KEYS + 1).collect()
+    if len(rows) > MAX_KEYS:
+        raise ValueError(f"running totals take at most {MAX_KEYS} keys, here {keys} has more")
+    return rows
+
+
+def _levels(df: DataFrame, keys: list[str], task_rows: int) -> int:
+    largest = max((r["count"] for r in _few_keys(df.groupBy(*keys).count(), keys)), default=0)
+    return 0 if largest <= task_rows else min(math.ceil(math.log2(largest / task_rows)) + 1, MAX_LEVELS)
 
 
 def _edges(df: DataFrame, keys: list[str], value: str, levels: int) -> DataFrame:
     """Bucket edges per key, fixed on the driver so that every reader of the
-    result sees the same ones. ``keys`` are few (features, types): checked."""
+    result sees the same ones."""
     n = 2**levels - 1
     shares = [(i + 1) / (n + 1) for i in range(n)]
-    found = df.groupBy(*keys).agg(F.percentile_approx(value, shares, 20 * (n + 1)).alias("_edges"))
-    rows = found.limit(MAX_KEYS + 1).collect()
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"running totals take at most {MAX_KEYS} keys, here {keys} has more")
-    return df.sparkSession.createDataFrame(rows, found.schema)
+    found = df.groupBy(*keys).agg(F.percentile_approx(value, shares, max(8 * n, 1000)).alias("_edges"))
+    return df.sparkSession.createDataFrame(_few_keys(found, keys), found.schema)
 
 
 def _bucket(edges: Column, value: Column, levels: int) -> Column:
@@ -32,60 +46,53 @@ def _bucket(edges: Column, value: Column, levels: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame, value: str, measures: list[str], keys: list[str] | None = None, levels: int = LEVELS
+    df: DataFrame, value: str, measures: list[str], keys: list[str] | None = None, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """One row per (keys, value): each measure's sum there, and ``<measure>_upto``,
     its sum over all values not above this one. Null values are left out.
 
     Rows are first reduced to distinct values, so a value repeated any number of
-    times is one row afterwards. Values are then spread over buckets by range;
-    a bucket adds up its own rows on top of the buckets below it. The totals do
-    not depend on where the bucket edges lie.
+    times is one row afterwards. A key with more rows than one task should sort
+    has its values spread over buckets by range; a bucket adds up its own rows on
+    top of the buckets below it. The totals do not depend on where the edges lie.
     """
-    keys = keys or []
     df = df.filter(F.col(value).isNotNull())
     if not keys:
-        df, keys, unkeyed = df.withColumn("_all", F.lit(0)), ["_all"], True
-    else:
-        unkeyed = False
-    edges = _edges(df, keys, value, levels)
+        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows)
+        return totals.drop("_all")
+    levels = _levels(df, keys, task_rows)
     distinct = df.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
+    if levels == 0:
+        return _add_up(distinct, value, measures, keys)
+
+    edges = _edges(df, keys, value, levels)
     placed = (
         distinct.join(F.broadcast(edges), keys)
         .withColumn("_bucket", _bucket(F.col("_edges"), F.col(value), levels))
         .drop("_edges")
     )
-    below = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(
-            *keys,
-            "_bucket",
-            *[F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_{m}_below") for m in measures],
-        )
-    )
-    inside = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
+    # At most MAX_KEYS * 2**levels rows: small enough to ship whole.
+    below = _add_up(sums, "_bucket", measures, keys).select(
+        *keys, "_bucket", *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_{m}_below") for m in measures]
     )
-    # At most MAX_KEYS * 2**levels offset rows: small enough to ship whole.
-    result = placed.join(F.broadcast(offsets), [*keys, "_bucket"]).select(
-        *keys,
-        value,
-        *measures,
-        *[(F.sum(m).over(inside) + F.col(f"_{m}_below")).alias(f"{m}_upto") for m in measures],
+    inside = _add_up(placed, value, measures, [*keys, "_bucket"])
+    return inside.join(F.broadcast(below), [*keys, "_bucket"]).select(
+        *keys, value, *measures, *[(F.col(f"{m}_upto") + F.col(f"_{m}_below")).alias(f"{m}_upto") for m in measures]
     )
-    return result.drop("_all") if unkeyed else result
+
+
+def _add_up(df: DataFrame, value: str, measures: list[str], within: list[str]) -> DataFrame:
+    window = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.select(*within, value, *measures, *[F.sum(m).over(window).alias(f"{m}_upto") for m in measures])
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None, levels: int = LEVELS
+    df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """Interpolated quantiles per key, columns ``p<percent>``, and the row count ``n``."""
     keys = keys or []
-    totals = running_totals(df.withColumn("n", F.lit(1).cast("bigint")), value, ["n"], keys, levels)
+    totals = running_totals(df.withColumn("n", F.lit(1).cast("bigint")), value, ["n"], keys, task_rows)
     sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_rows"))
     joined = totals.join(F.broadcast(sizes), keys) if keys else totals.withColumn("_rows", sizes.scalar())
 

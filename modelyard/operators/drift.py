@@ -96,12 +96,13 @@ def finite_p_value(n: int, distance: float) -> float:
     return float(min(max(1.0 - inside, 0.0), 1.0))
 
 
-@F.pandas_udf("double")
-def _finite(rows: pd.Series, distance: pd.Series) -> pd.Series:
-    small = rows <= FINITE_ROWS
-    return pd.Series(
-        [finite_p_value(int(n), d) if ok else None for n, d, ok in zip(rows, distance, small)], dtype="float64"
-    )
+def _finite_udf():
+    @F.pandas_udf("double")
+    def finite(rows: pd.Series, distance: pd.Series) -> pd.Series:
+        found = [finite_p_value(int(n), d) if n <= FINITE_ROWS else None for n, d in zip(rows, distance)]
+        return pd.Series(found, dtype="float64")
+
+    return finite
 
 
 def with_p_value(distances: DataFrame, finite: bool = False) -> DataFrame:
@@ -112,7 +113,7 @@ def with_p_value(distances: DataFrame, finite: bool = False) -> DataFrame:
     limit = limit_p_value(F.col("distance"), n_ref, n_cur)
     if finite:
         rows = F.rint(effective_rows(n_ref, n_cur)).cast("int")
-        limit = F.coalesce(_finite(rows, F.col("distance")), limit)
+        limit = F.coalesce(_finite_udf()(rows, F.col("distance")), limit)
     return distances.withColumn("p_value", limit)
 
 

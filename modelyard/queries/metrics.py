@@ -465,12 +465,12 @@ RANKED = ["high", "F", "even", "O", "P"]
 @query(
     "ranking_metrics",
     "K2",
-    f"""WITH {SETS}, i AS (SELECT o_orderkey, t.at, list_contains(truth, {RANKED}[t.at])::INTEGER AS hit, len(truth) AS n_rel
-             FROM s, unnest(range(1, 6)) AS t(at)),
-       c AS (SELECT *, sum(hit) OVER (PARTITION BY o_orderkey ORDER BY at) AS found FROM i),
-       p AS (SELECT o_orderkey, sum(hit) FILTER (WHERE at <= 3) / 3 AS pk,
-               sum(CASE WHEN hit = 1 THEN found / at ELSE 0 END) / max(n_rel) AS ap,
-               sum(hit / log2(at + 1)) FILTER (WHERE at <= 3) / sum(1 / log2(at + 1)) FILTER (WHERE at <= least(n_rel, 3)) AS ndcg
+    f"""WITH {SETS}, i AS (SELECT o_orderkey, t.pos, list_contains(truth, {RANKED}[t.pos])::INTEGER AS hit, len(truth) AS n_rel
+             FROM s, unnest(range(1, 6)) AS t(pos)),
+       c AS (SELECT *, sum(hit) OVER (PARTITION BY o_orderkey ORDER BY pos) AS found FROM i),
+       p AS (SELECT o_orderkey, sum(hit) FILTER (WHERE pos <= 3) / 3 AS pk,
+               sum(CASE WHEN hit = 1 THEN found / pos ELSE 0 END) / max(n_rel) AS ap,
+               sum(hit / log2(pos + 1)) FILTER (WHERE pos <= 3) / sum(1 / log2(pos + 1)) FILTER (WHERE pos <= least(n_rel, 3)) AS ndcg
              FROM c GROUP BY o_orderkey)
        SELECT count(*) AS n, round(avg(pk), 6) AS precision_at_k, round(avg(ap), 6) AS map, round(avg(ndcg), 6) AS ndcg_at_k FROM p""",
 )

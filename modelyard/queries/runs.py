@@ -175,8 +175,8 @@ def newest_run(spark, folder):
 @query(
     "newest_run_per_experiment",
     "W5",
-    f"""WITH {RUNS}, r AS (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id) AS at FROM runs)
-        SELECT experiment, start_time, run_id FROM r WHERE at = 1""",
+    f"""WITH {RUNS}, r AS (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC, run_id) AS pos FROM runs)
+        SELECT experiment, start_time, run_id FROM r WHERE pos = 1""",
 )
 def newest_run_per_experiment(spark, folder):
     return newest_per_experiment(run_table(spark, folder))

@@ -53,9 +53,9 @@ def random_split_sizes(spark, folder):
     "exact_split",
     "T8",
     """WITH o AS (SELECT o_orderkey, o_totalprice,
-                    row_number() OVER (ORDER BY substr(md5(concat_ws(':', '42', o_orderkey::VARCHAR)), 1, 15), o_orderkey) AS at,
+                    row_number() OVER (ORDER BY substr(md5(concat_ws(':', '42', o_orderkey::VARCHAR)), 1, 15), o_orderkey) AS pos,
                     count(*) OVER () AS n FROM orders)
-       SELECT o_orderkey, o_totalprice, CASE WHEN at <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM o""",
+       SELECT o_orderkey, o_totalprice, CASE WHEN pos <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM o""",
 )
 def exact_split(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
@@ -65,8 +65,8 @@ def exact_split(spark, folder):
 @query(
     "ordered_halves",
     "T9",
-    """WITH e AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS at, count(*) OVER () AS n FROM events)
-       SELECT event_id, CASE WHEN at <= n - ceil(0.5 * n) THEN 'train' ELSE 'test' END AS split FROM e""",
+    """WITH e AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS pos, count(*) OVER () AS n FROM events)
+       SELECT event_id, CASE WHEN pos <= n - ceil(0.5 * n) THEN 'train' ELSE 'test' END AS split FROM e""",
 )
 def ordered_halves(spark, folder):
     events = table(spark, folder, "events").select("event_id", "ts")

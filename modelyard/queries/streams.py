@@ -17,7 +17,8 @@ from modelyard.streaming.jobs import arriving, current_histories, stream_histori
 
 
 def stream(spark, folder, name: str) -> DataFrame:
-    return arriving(spark, f"{folder}/{name}.parquet", table(spark, folder, name).schema)
+    """The table as a stream of files; the pattern matches a single file or a folder of them."""
+    return arriving(spark, f"{folder}/{name}.parquet*", table(spark, folder, name).schema)
 
 
 @query(

@@ -112,4 +112,5 @@ def mime_type(path: Column) -> Column:
 
 
 def data_url(path: Column, content: Column) -> Column:
-    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), F.base64(content))
+    one_line = F.translate(F.base64(content), "\r\n", "")
+    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), one_line)
