@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import bind
 
-# Token pattern, blanks, sentence enders, readability weights.
+# Token pattern, blanks, readability weights, words a sentence needs.
 TOKEN = "[a-z0-9]+"
-BLANKS = "[ \t\r\n]+"
-SENTENCE_END = "[.!?]+"
+BLANKS = " \t\r\n"
 ARI_CHARS_PER_WORD = 4.71
 ARI_WORDS_PER_SENTENCE = 0.5
 ARI_BASE = 21.43
-SHORTEST_SENTENCE = 3
+SENTENCE_WORDS = 3
+
+LETTER = r"\p{L}\p{N}"
+# A run of non-blanks from its first letter or digit on.
+WORD = rf"[{LETTER}][^{BLANKS}]*+"
+# From a sentence ender or the start of the text, as many words before the next ender.
+SENTENCE = rf"(?<![^.!?])(?:[^.!?{LETTER}]*+[{LETTER}][^.!?{BLANKS}]*+){{{SENTENCE_WORDS}}}"
 
 
 def tokens(text: Column) -> Column:
@@ -78,26 +83,29 @@ def rouge2(response: Column, target: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Blank-separated pieces holding at least one letter or digit."""
-    return F.size(F.filter(F.split(text, BLANKS), lambda w: w.rlike(r"[\p{L}\p{N}]")))
+    return F.regexp_count(text, F.lit(WORD))
 
 
 def sentence_count(text: Column) -> Column:
     """Pieces between sentence enders with three words or more; at least 1."""
-    pieces = F.split(text, SENTENCE_END)
-    long_enough = F.filter(pieces, lambda s: word_count(s) >= SHORTEST_SENTENCE)
-    return F.greatest(F.size(long_enough), F.lit(1))
+    return F.greatest(F.regexp_count(text, F.lit(SENTENCE)), F.lit(1))
 
 
 def character_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, BLANKS, ""))
+    return F.length(F.translate(text, BLANKS, ""))
 
 
 def ari_grade(text: Column) -> Column:
     """Automated readability index from non-blank characters, words and sentences."""
-    words = word_count(text)
-    return F.when(
-        words > 0,
-        ARI_CHARS_PER_WORD * character_count(text) / words
-        + ARI_WORDS_PER_SENTENCE * words / sentence_count(text)
-        - ARI_BASE,
+    counts = F.struct(
+        character_count(text).alias("chars"), word_count(text).alias("words"), sentence_count(text).alias("sentences")
+    )
+    return bind(
+        counts,
+        lambda c: F.when(
+            c["words"] > 0,
+            ARI_CHARS_PER_WORD * c["chars"] / c["words"]
+            + ARI_WORDS_PER_SENTENCE * c["words"] / c["sentences"]
+            - ARI_BASE,
+        ),
     )

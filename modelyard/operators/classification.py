@@ -198,3 +198,18 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
         ratio(at_or_above["pos"], F.col("sizes")["pos"]).alias("tpr"),
         ratio(at_or_above["neg"], F.col("sizes")["neg"]).alias("fpr"),
     )
+
+
+def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Area under the precision-recall steps: the precision at each distinct
+    score, weighted by the share of positives that score adds. Null without positives."""
+    totals = _score_totals(df, label, score)
+    sizes = df.filter(F.col(score).isNotNull()).agg(
+        F.struct(F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n")).alias("sizes")
+    )
+    found = F.col("sizes.pos") - F.col("pos_upto") + F.col("pos")
+    taken = F.col("sizes.n") - F.col("pos_upto") - F.col("neg_upto") + F.col("pos") + F.col("neg")
+    share = F.col("pos") / F.nullif("sizes.pos", F.lit(0))
+    return totals.withColumn("sizes", sizes.scalar()).agg(
+        F.sum(share * ratio(found, taken)).alias("average_precision")
+    )

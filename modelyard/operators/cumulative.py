@@ -13,7 +13,7 @@ TASK_ROWS = 1_000_000
 MAX_LEVELS = 12
 
 
-def _few_keys(per_key: DataFrame, keys: list[str]) -> list:
+def few_keys(per_key: DataFrame, keys: list[str]) -> list:
     """Rows of a frame with one row per key; keys are few (features, types): checked."""
     rows = per_key.limit(MAX_KEYS + 1).collect()
     if len(rows) > MAX_KEYS:
@@ -21,9 +21,12 @@ def _few_keys(per_key: DataFrame, keys: list[str]) -> list:
     return rows
 
 
-def _levels(df: DataFrame, keys: list[str], task_rows: int) -> int:
-    largest = max((r["count"] for r in _few_keys(df.groupBy(*keys).count(), keys)), default=0)
-    return 0 if largest <= task_rows else min(math.ceil(math.log2(largest / task_rows)) + 1, MAX_LEVELS)
+def _largest_key(df: DataFrame, keys: list[str]) -> int:
+    return max((r["count"] for r in few_keys(df.groupBy(*keys).count(), keys)), default=0)
+
+
+def _levels(rows: int, task_rows: int) -> int:
+    return 0 if rows <= task_rows else min(math.ceil(math.log2(rows / task_rows)) + 1, MAX_LEVELS)
 
 
 def _edges(df: DataFrame, keys: list[str], value: str, levels: int) -> DataFrame:
@@ -32,7 +35,7 @@ def _edges(df: DataFrame, keys: list[str], value: str, levels: int) -> DataFrame
     n = 2**levels - 1
     shares = [(i + 1) / (n + 1) for i in range(n)]
     found = df.groupBy(*keys).agg(F.percentile_approx(value, shares, max(8 * n, 1000)).alias("_edges"))
-    return df.sparkSession.createDataFrame(_few_keys(found, keys), found.schema)
+    return df.sparkSession.createDataFrame(few_keys(found, keys), found.schema)
 
 
 def _bucket(edges: Column, value: Column, levels: int) -> Column:
@@ -46,7 +49,12 @@ def _bucket(edges: Column, value: Column, levels: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame, value: str, measures: list[str], keys: list[str] | None = None, task_rows: int = TASK_ROWS
+    df: DataFrame,
+    value: str,
+    measures: list[str],
+    keys: list[str] | None = None,
+    task_rows: int = TASK_ROWS,
+    largest_key: int | None = None,
 ) -> DataFrame:
     """One row per (keys, value): each measure's sum there, and ``<measure>_upto``,
     its sum over all values not above this one. Null values are left out.
@@ -55,12 +63,13 @@ def running_totals(
     times is one row afterwards. A key with more rows than one task should sort
     has its values spread over buckets by range; a bucket adds up its own rows on
     top of the buckets below it. The totals do not depend on where the edges lie.
+    ``largest_key`` saves counting when the rows of the largest key are known.
     """
     df = df.filter(F.col(value).isNotNull())
     if not keys:
-        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows)
+        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows, largest_key)
         return totals.drop("_all")
-    levels = _levels(df, keys, task_rows)
+    levels = _levels(_largest_key(df, keys) if largest_key is None else largest_key, task_rows)
     distinct = df.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
     if levels == 0:
         return _add_up(distinct, value, measures, keys)
@@ -92,9 +101,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per key, columns ``p<percent>``, and the row count ``n``."""
     keys = keys or []
-    totals = running_totals(df.withColumn("n", F.lit(1).cast("bigint")), value, ["n"], keys, task_rows)
-    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    joined = totals.join(F.broadcast(sizes), keys) if keys else totals.withColumn("_rows", sizes.scalar())
+    df = df.filter(F.col(value).isNotNull())
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    found = few_keys(counts, keys)
+    sizes = df.sparkSession.createDataFrame(found, counts.schema)
+    largest = max((r["_rows"] for r in found), default=0)
+    ones = df.withColumn("n", F.lit(1).cast("bigint"))
+    totals = running_totals(ones, value, ["n"], keys, task_rows, largest)
+    joined = totals.join(F.broadcast(sizes), keys) if keys else totals.withColumn("_rows", F.lit(largest))
 
     def at_rank(rank: Column) -> Column:
         return F.min(F.when(F.col("n_upto") > rank, F.col(value)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import utc_stamp
 from modelyard.operators.contract import ContractError
-from modelyard.operators.cumulative import running_totals
+from modelyard.operators.cumulative import few_keys, running_totals
 from modelyard.operators.registry import latest_version
 
 P_VALUE = 0.05
@@ -29,20 +29,33 @@ def long_features(df: DataFrame, features: list[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
+def feature_rows(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, n) with n = 1: a profile whose equal values are not merged yet."""
+    return long_features(df, features).withColumn("n", F.lit(1).cast("bigint"))
+
+
 def reference_profile(df: DataFrame, features: list[str]) -> DataFrame:
     """What the test needs of the training rows: how often each value occurs."""
     return long_features(df, features).groupBy("feature", "value").agg(F.count("*").alias("n"))
 
 
 def ks_distance(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """(feature, n_ref, n_cur, distance) from two (feature, value, n) profiles."""
+    """(feature, n_ref, n_cur, distance) from two (feature, value, n) frames.
+
+    The sizes of both sides take one pass and as many rows as there are features;
+    equal values are merged once, on the way to the running totals.
+    """
     zero = F.lit(0).cast("bigint")
     both = reference.select("feature", "value", F.col("n").alias("ref"), zero.alias("cur")).unionAll(
         current.select("feature", "value", zero.alias("ref"), F.col("n").alias("cur"))
     )
-    totals = running_totals(both, "value", ["ref", "cur"], ["feature"])
-    # As many rows as there are features.
-    sizes = both.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
+    measured = both.groupBy("feature").agg(
+        F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"), F.count("*").alias("rows")
+    )
+    found = few_keys(measured, ["feature"])
+    largest = max((r["rows"] for r in found), default=0)
+    sizes = both.sparkSession.createDataFrame(found, measured.schema).drop("rows")
+    totals = running_totals(both, "value", ["ref", "cur"], ["feature"], largest_key=largest)
     gap = F.abs(
         F.col("ref_upto") / F.nullif("n_ref", F.lit(0)) - F.col("cur_upto") / F.nullif("n_cur", F.lit(0))
     )
@@ -129,7 +142,7 @@ def drift_test(
     reference: DataFrame, current: DataFrame, features: list[str], alpha: float = P_VALUE, finite: bool = False
 ) -> DataFrame:
     """Test rows for two frames of raw features."""
-    distances = ks_distance(reference_profile(reference, features), reference_profile(current, features))
+    distances = ks_distance(feature_rows(reference, features), feature_rows(current, features))
     return with_decision(with_p_value(distances, finite), len(features), alpha)
 
 

@@ -14,7 +14,7 @@ from modelyard.operators.drift import (
     WINDOW_ROWS,
     drift_report,
     ks_distance,
-    reference_profile,
+    feature_rows,
     version_with_reference,
     with_decision,
     with_p_value,
@@ -62,7 +62,7 @@ class ScoringJob:
         version = self._version()
         run_id = version.first()["run_id"]
         reference = self.tracking.read("references").filter(F.col("run_id") == run_id)
-        distances = ks_distance(reference, reference_profile(current, self.features))
+        distances = ks_distance(reference, feature_rows(current, self.features))
         tested = with_decision(with_p_value(distances, finite=True), len(self.features), self.alpha)
         report = drift_report(tested, version.select("name", "version", "run_id"), F.current_timestamp(), self.window)
         write_document(report, f"{self.reports}/batch={batch}", f"{self.reports}/latest")

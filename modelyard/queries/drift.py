@@ -9,6 +9,7 @@ from modelyard.operators.drift import (
     any_drift,
     drift_report,
     drift_test,
+    feature_rows,
     ks_distance,
     reference_profile,
     version_with_reference,
@@ -113,7 +114,7 @@ def drift_report_(spark, folder):
     version = version_with_reference(versions, versions.select("run_id"), f"model_{newest}")
     current = last_rows(table(spark, folder, "lineitem"), SEQUENCE, 20)
     distances = ks_distance(
-        reference_profile(training_rows(spark, folder), FEATURES), reference_profile(current, FEATURES)
+        reference_profile(training_rows(spark, folder), FEATURES), feature_rows(current, FEATURES)
     )
     tested = with_decision(with_p_value(distances), len(FEATURES))
     report = drift_report(tested, version, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), 20)

@@ -10,6 +10,7 @@ from modelyard.functions.keys import fold_number
 from modelyard.functions.scalars import argmax
 from modelyard.operators.classification import (
     accuracy,
+    average_precision,
     averaged_metrics,
     binary_metrics,
     class_metrics,
@@ -156,6 +157,18 @@ def roc_curve_(spark, folder):
     return rounded(roc_curve(binary_scores(spark, folder), "y", "s"))
 
 
+@query(
+    "average_precision",
+    "K2 W4",
+    f"""WITH {BINARY}, d AS (SELECT s, sum(y) AS pos, count(*) AS n FROM b GROUP BY s),
+             t AS (SELECT pos, sum(pos) OVER w AS found, sum(n) OVER w AS taken, sum(pos) OVER () AS total
+                   FROM d WINDOW w AS (ORDER BY s DESC))
+        SELECT round(sum(pos / total * found / taken), 6) AS average_precision FROM t""",
+)
+def average_precision_(spark, folder):
+    return rounded(average_precision(binary_scores(spark, folder), "y", "s"))
+
+
 # --- multi-class -------------------------------------------------------------------
 
 

@@ -123,20 +123,20 @@ def tagged_runs(spark, folder):
     f"""WITH {WIDE}, l AS (SELECT run_id, 'accuracy' AS key, accuracy AS value FROM wide UNION ALL
             SELECT run_id, 'latency', latency FROM wide UNION ALL SELECT run_id, 'toxicity', toxicity FROM wide
             UNION ALL SELECT run_id, 'rouge2', rouge2 FROM wide)
-        SELECT run_id, key, round(value, 6) AS value FROM l WHERE value IS NOT NULL""",
+        SELECT run_id, key, round(value, 8) AS value FROM l WHERE value IS NOT NULL""",
 )
 def logged_metrics(spark, folder):
     path = scratch_path(spark, "metrics")
     logged = metric_table(spark, folder)
     log_rows(logged.filter("key = 'accuracy'"), path)
     log_rows(logged.filter("key <> 'accuracy'"), path)
-    return rounded(spark.read.schema(logged.schema).parquet(path))
+    return rounded(spark.read.schema(logged.schema).parquet(path), 8)
 
 
 @query(
     "searched_runs",
     "R2",
-    f"""WITH {RUNS}, {WIDE} SELECT run_id, status, round(accuracy, 6) AS accuracy, round(latency, 6) AS latency,
+    f"""WITH {RUNS}, {WIDE} SELECT run_id, status, round(accuracy, 8) AS accuracy, round(latency, 8) AS latency,
             o_orderpriority AS prompt FROM runs JOIN wide USING (run_id) JOIN orders ON run_id = o_orderkey""",
 )
 def searched_runs(spark, folder):
@@ -147,7 +147,8 @@ def searched_runs(spark, folder):
         found.select(
             "run_id", "status", F.col("`metrics.accuracy`").alias("accuracy"),
             F.col("`metrics.latency`").alias("latency"), F.col("`params.prompt`").alias("prompt"),
-        )
+        ),
+        8,
     )
 
 
@@ -195,6 +196,15 @@ def champion_versions(spark, folder):
     return with_uri(champions(version_table(spark, folder))).select("name", "version", "uri")
 
 
+@query(
+    "version_listing",
+    "A20 F6",
+    f"WITH {VERSIONS} SELECT name, version, stage, concat('models:/', name, '/', version) AS uri FROM versions",
+)
+def version_listing(spark, folder):
+    return with_uri(version_table(spark, folder)).select("name", "version", "stage", "uri")
+
+
 @query(
     "version_counts",
     "A20",

@@ -18,7 +18,7 @@ ARI = """ari AS (SELECT id, text,
     greatest(1, len(list_filter(regexp_split_to_array(text, '[.!?]+'), lambda s:
       len(list_filter(regexp_split_to_array(s, '[ \\t\\r\\n]+'), lambda w: regexp_matches(w, '[\\p{L}\\p{N}]'))) >= 3))) AS sentences
     FROM texts),
-  graded AS (SELECT id, CASE WHEN words > 0 THEN 4.71 * chars / words + 0.5 * words / sentences - 21.43 END AS grade FROM ari)"""
+  graded AS (SELECT id, CASE WHEN words > 0 THEN 4.71::DOUBLE * chars / words + 0.5::DOUBLE * words / sentences - 21.43::DOUBLE END AS grade FROM ari)"""
 ROUGE = """tok AS (SELECT conv_id, turn, 'r' AS side, regexp_extract_all(lower(response), '[a-z0-9]+') AS t FROM x
              UNION ALL SELECT conv_id, turn, 't', regexp_extract_all(lower(prompt), '[a-z0-9]+') FROM x),
     bg AS (SELECT conv_id, turn, side, concat(t[u.i], ' ', t[u.i + 1]) AS g, count(*) AS n
@@ -68,11 +68,11 @@ def rouge2_scores(spark, folder):
 @query(
     "reading_grades",
     "X2",
-    f"WITH texts AS (SELECT doc_id AS id, text FROM documents), {ARI} SELECT id AS doc_id, round(grade, 4) AS ari_grade FROM graded",
+    f"WITH texts AS (SELECT doc_id AS id, text FROM documents), {ARI} SELECT id AS doc_id, round(grade, 6) AS ari_grade FROM graded",
 )
 def reading_grades(spark, folder):
     documents = table(spark, folder, "documents")
-    return rounded(documents.select("doc_id", ari_grade(F.col("text")).alias("ari_grade")), 4)
+    return rounded(documents.select("doc_id", ari_grade(F.col("text")).alias("ari_grade")))
 
 
 @query(
@@ -89,14 +89,14 @@ def toxicity_rate(spark, folder):
     "evaluation_means",
     "A22 X1 X2 X4",
     f"""WITH {EXCHANGES}, {ROUGE}, texts AS (SELECT conv_id * 1000000 + turn AS id, response AS text FROM x), {ARI}
-        SELECT conv_id, count(*) AS n, round(avg(rouge2), 6) AS rouge2_mean, round(avg(grade), 4) AS ari_grade_mean
+        SELECT conv_id, count(*) AS n, round(avg(rouge2), 6) AS rouge2_mean, round(avg(grade), 6) AS ari_grade_mean
         FROM rouge JOIN graded ON id = conv_id * 1000000 + turn GROUP BY conv_id""",
 )
 def evaluation_means_(spark, folder):
     scored = evaluate_responses(exchanges(table(spark, folder, "conversations")), "response", "prompt")
     means = evaluation_means(scored, ["conv_id"], ["rouge2", "ari_grade"])
     return means.select(
-        "conv_id", "n", F.round("rouge2_mean", 6).alias("rouge2_mean"), F.round("ari_grade_mean", 4).alias("ari_grade_mean")
+        "conv_id", "n", F.round("rouge2_mean", 6).alias("rouge2_mean"), F.round("ari_grade_mean", 6).alias("ari_grade_mean")
     )
 
 
