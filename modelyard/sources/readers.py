@@ -33,9 +33,14 @@ def read_csv(
     schema: StructType | str | None = None,
     header: bool = True,
     sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV scan. Without a schema Spark reads the whole file once more to infer one."""
-    reader = spark.read.options(header=header, sep=sep, escape='"')
+    """CSV scan. Without a schema Spark reads the whole file once more to infer one.
+
+    A bare empty field is null, a quoted one an empty text. ``multi_line`` allows
+    line breaks inside quotes, at the price of one task per file.
+    """
+    reader = spark.read.options(header=header, sep=sep, escape='"', nullValue=r"\N", multiLine=multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.options(**TEXT_FORMATS).schema(schema).csv(path)

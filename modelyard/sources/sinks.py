@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from modelyard.sources.readers import TEXT_FORMATS
 
+# Blanks around a value belong to it; a quote inside one is doubled.
+CSV_WRITE = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 SINGLE_FILE_ROWS = 1_000_000
 
 
@@ -20,7 +22,7 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(header=True, escape='"', **TEXT_FORMATS).csv(path)
+    df.write.mode(mode).options(header=True, **CSV_WRITE, **TEXT_FORMATS).csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> int:
