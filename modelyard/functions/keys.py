@@ -19,6 +19,8 @@ def digest_number(seed: int, *key: str) -> Column:
 
 def below_fraction(seed: int, fraction: float, *key: str) -> Column:
     """True for about ``fraction`` of the keys, decided row by row."""
+    if fraction >= 1:
+        return F.lit(True)
     return F.substring(digest(seed, *key), 1, 8) < f"{int(fraction * 2**32):08x}"
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows of a few columns that every task can hold.
+BROADCAST_ROWS = 1_000_000
+
 
 def concat_columns(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """Columns side by side; each row of one finds its row of the other by key."""
@@ -40,3 +43,9 @@ def next_in_sequence(df: DataFrame, key: str, order: str, columns: list[str], pr
         key, (F.col(order) - 1).alias(order), *[F.col(c).alias(f"{prefix}{c}") for c in columns]
     )
     return df.join(following, [key, order])
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame, marked to be sent whole to every task if it is counted to be
+    small; otherwise as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

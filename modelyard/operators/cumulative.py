@@ -11,6 +11,8 @@ MAX_KEYS = 10_000
 # Rows of one key that a single task may sort; beyond it the key gets 2**levels buckets.
 TASK_ROWS = 1_000_000
 MAX_LEVELS = 12
+# Buckets over all keys: what is sent whole to every task stays within tens of megabytes.
+MAX_BUCKETS = 2**20
 
 
 def few_keys(per_key: DataFrame, keys: list[str]) -> list:
@@ -21,12 +23,16 @@ def few_keys(per_key: DataFrame, keys: list[str]) -> list:
     return rows
 
 
-def _largest_key(df: DataFrame, keys: list[str]) -> int:
-    return max((r["count"] for r in few_keys(df.groupBy(*keys).count(), keys)), default=0)
+def key_sizes(df: DataFrame, keys: list[str]) -> list[int]:
+    return [r["count"] for r in few_keys(df.groupBy(*keys).count(), keys)]
 
 
-def _levels(rows: int, task_rows: int) -> int:
-    return 0 if rows <= task_rows else min(math.ceil(math.log2(rows / task_rows)) + 1, MAX_LEVELS)
+def _levels(sizes: list[int], task_rows: int) -> int:
+    largest = max(sizes, default=0)
+    if largest <= task_rows:
+        return 0
+    wanted = math.ceil(math.log2(largest / task_rows)) + 1
+    return min(wanted, MAX_LEVELS, int(math.log2(MAX_BUCKETS / len(sizes))))
 
 
 def _edges(df: DataFrame, keys: list[str], value: str, levels: int) -> DataFrame:
@@ -54,7 +60,7 @@ def running_totals(
     measures: list[str],
     keys: list[str] | None = None,
     task_rows: int = TASK_ROWS,
-    largest_key: int | None = None,
+    sizes: list[int] | None = None,
 ) -> DataFrame:
     """One row per (keys, value): each measure's sum there, and ``<measure>_upto``,
     its sum over all values not above this one. Null values are left out.
@@ -63,13 +69,13 @@ def running_totals(
     times is one row afterwards. A key with more rows than one task should sort
     has its values spread over buckets by range; a bucket adds up its own rows on
     top of the buckets below it. The totals do not depend on where the edges lie.
-    ``largest_key`` saves counting when the rows of the largest key are known.
+    ``sizes``, the rows of each key, saves counting when they are known.
     """
     df = df.filter(F.col(value).isNotNull())
     if not keys:
-        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows, largest_key)
+        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows, sizes)
         return totals.drop("_all")
-    levels = _levels(_largest_key(df, keys) if largest_key is None else largest_key, task_rows)
+    levels = _levels(key_sizes(df, keys) if sizes is None else sizes, task_rows)
     distinct = df.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
     if levels == 0:
         return _add_up(distinct, value, measures, keys)
@@ -81,7 +87,7 @@ def running_totals(
         .drop("_edges")
     )
     sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    # At most MAX_KEYS * 2**levels rows: small enough to ship whole.
+    # At most MAX_BUCKETS rows.
     below = _add_up(sums, "_bucket", measures, keys).select(
         *keys, "_bucket", *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_{m}_below") for m in measures]
     )
@@ -104,11 +110,12 @@ def exact_quantiles(
     df = df.filter(F.col(value).isNotNull())
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     found = few_keys(counts, keys)
-    sizes = df.sparkSession.createDataFrame(found, counts.schema)
-    largest = max((r["_rows"] for r in found), default=0)
     ones = df.withColumn("n", F.lit(1).cast("bigint"))
-    totals = running_totals(ones, value, ["n"], keys, task_rows, largest)
-    joined = totals.join(F.broadcast(sizes), keys) if keys else totals.withColumn("_rows", F.lit(largest))
+    totals = running_totals(ones, value, ["n"], keys, task_rows, [r["_rows"] for r in found])
+    if keys:
+        joined = totals.join(F.broadcast(df.sparkSession.createDataFrame(found, counts.schema)), keys)
+    else:
+        joined = totals.withColumn("_rows", F.lit(found[0]["_rows"]))
 
     def at_rank(rank: Column) -> Column:
         return F.min(F.when(F.col("n_upto") > rank, F.col(value)))

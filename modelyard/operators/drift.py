@@ -53,9 +53,8 @@ def ks_distance(reference: DataFrame, current: DataFrame) -> DataFrame:
         F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"), F.count("*").alias("rows")
     )
     found = few_keys(measured, ["feature"])
-    largest = max((r["rows"] for r in found), default=0)
     sizes = both.sparkSession.createDataFrame(found, measured.schema).drop("rows")
-    totals = running_totals(both, "value", ["ref", "cur"], ["feature"], largest_key=largest)
+    totals = running_totals(both, "value", ["ref", "cur"], ["feature"], sizes=[r["rows"] for r in found])
     gap = F.abs(
         F.col("ref_upto") / F.nullif("n_ref", F.lit(0)) - F.col("cur_upto") / F.nullif("n_cur", F.lit(0))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import cosine
 from modelyard.functions.text import tokens
+from modelyard.operators.cumulative import few_keys
 
 MAX_CATEGORIES = 100_000
 
@@ -86,6 +87,21 @@ def term_weights(df: DataFrame, text: str, buckets: int = 1 << 18, output: str =
     return Pipeline(stages=stages).fit(tokenized).transform(tokenized).drop("_tokens", "_counts")
 
 
-def cosine_to(df: DataFrame, vector: str, centers: DataFrame, key: str, center: str) -> DataFrame:
-    """Cosine of each row's vector with the center of its own group."""
-    return df.join(centers, key).withColumn("cosine", cosine(F.col(vector), F.col(center)))
+def class_centers(df: DataFrame, vector: str, key: str) -> DataFrame:
+    """Mean vector per class, columns (key, center).
+
+    Summed by (class, dimension), so a large class is spread over its dimensions.
+    """
+    spread = df.select(key, F.posexplode(vector).alias("_at", "_x"))
+    means = spread.groupBy(key, "_at").agg(F.avg(F.col("_x").cast("double")).alias("_x"))
+    ordered = F.array_sort(F.collect_list(F.struct("_at", "_x")))
+    return means.groupBy(key).agg(F.transform(ordered, lambda s: s["_x"]).alias("center"))
+
+
+def cosine_to(df: DataFrame, vector: str, centers: DataFrame, key: str, center: str = "center") -> DataFrame:
+    """Cosine of each row's vector with the center of its own class.
+
+    Classes are few (checked) and sent to every task: rows are not gathered by class.
+    """
+    few = df.sparkSession.createDataFrame(few_keys(centers, [key]), centers.schema)
+    return df.join(F.broadcast(few), key).withColumn("cosine", cosine(F.col(vector), F.col(center)))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelyard.operators.align import small_side
+
 ALLOWED, DENIED = "allowed", "denied"
-BROADCAST_ROWS = 1_000_000
 
 
 def gate_by_list(df: DataFrame, user: str, allowed: list) -> DataFrame:
@@ -15,10 +16,7 @@ def gate_by_list(df: DataFrame, user: str, allowed: list) -> DataFrame:
 
 
 def _members(allowed: DataFrame, user: str) -> DataFrame:
-    """Distinct members; sent whole to every task only when few."""
-    members = allowed.select(user).distinct()
-    few = members.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(members) if few else members
+    return small_side(allowed.select(user).distinct())
 
 
 def allowed_rows(df: DataFrame, allowed: DataFrame, user: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.text import ari_grade
 from modelyard.operators.conversations import evaluate_responses, evaluation_means, exchanges, histories
-from modelyard.operators.features import cosine_to, term_weights
+from modelyard.operators.features import class_centers, cosine_to, term_weights
 from modelyard.queries import query, rounded, table
 
 EXCHANGES = """x AS (SELECT a.conv_id, a.turn, a.text AS prompt, b.text AS response
@@ -110,13 +110,8 @@ def evaluation_means_(spark, folder):
 )
 def cosine_to_class_center(spark, folder):
     vectors = table(spark, folder, "embeddings")
-    spread = vectors.select("label", F.posexplode("embedding").alias("at", "x"))
-    means = spread.groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    # One row per dimension and class: the list holds as many entries as a vector has.
-    centers = means.groupBy("label").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("center")
-    )
-    return rounded(cosine_to(vectors, "embedding", centers, "label", "center").select("vec_id", "label", "cosine"))
+    centers = class_centers(vectors, "embedding", "label")
+    return rounded(cosine_to(vectors, "embedding", centers, "label").select("vec_id", "label", "cosine"))
 
 
 @query("document_term_weights", "X5")
