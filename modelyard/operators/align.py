@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Rows of a few columns that every task can hold.
 BROADCAST_ROWS = 1_000_000
+SALTS = 32
 
 
 def concat_columns(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
@@ -49,3 +50,22 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame, marked to be sent whole to every task if it is counted to be
     small; otherwise as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def keyed_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = SALTS, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join a frame in which one key may hold most rows with one that has each key once.
+
+    A small right side is sent to every task. A larger one is repeated ``salts``
+    times and the left rows pick a copy by their content, so that the rows of
+    a single key are spread over that many tasks.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), key, how)
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    others = [c for c in left.columns if c != key]
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import cosine
-from modelyard.functions.text import tokens
+from modelyard.functions.text import terms
+from modelyard.operators.align import keyed_join
 from modelyard.operators.cumulative import few_keys
 
 MAX_CATEGORIES = 100_000
@@ -77,9 +78,10 @@ def indicators(df: DataFrame, columns: list[str], drop_first: bool = True, max_c
     return df.withColumns(added).drop(*columns)
 
 
-def term_weights(df: DataFrame, text: str, buckets: int = 1 << 18, output: str = "tfidf") -> DataFrame:
-    """Term frequency times inverse document frequency, terms hashed to buckets."""
-    tokenized = df.withColumn("_tokens", tokens(F.col(text)))
+def hashed_term_weights(df: DataFrame, text: str, buckets: int = 1 << 18, output: str = "tfidf") -> DataFrame:
+    """Term weights as sparse vectors for MLlib, terms hashed to buckets: no shuffle
+    of terms, but two terms may share a bucket."""
+    tokenized = df.withColumn("_tokens", terms(F.col(text)))
     stages = [
         HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=buckets),
         IDF(inputCol="_counts", outputCol=output),
@@ -87,6 +89,33 @@ def term_weights(df: DataFrame, text: str, buckets: int = 1 << 18, output: str =
     return Pipeline(stages=stages).fit(tokenized).transform(tokenized).drop("_tokens", "_counts")
 
 
+def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, weight): term count times ln((1 + n) / (1 + documents with the
+    term)) + 1, scaled so that each document's weights have length 1.
+
+    Counting merges copies before the shuffle. A term found in most documents is
+    joined through ``keyed_join``, which spreads its rows. A document's terms come
+    together in one row, which its text already was.
+    """
+    documents = df.agg(F.count("*")).scalar()
+    counted = df.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(
+        F.count("*").alias("_n")
+    )
+    rarity = counted.groupBy("term").agg(F.count("*").alias("_in")).withColumn(
+        "_idf", F.ln((1 + documents) / (1 + F.col("_in"))) + 1
+    )
+    weighted = keyed_join(counted, rarity.select("term", "_idf"), "term").select(
+        key, "term", (F.col("_n") * F.col("_idf")).alias("weight")
+    )
+    gathered = weighted.groupBy(key).agg(
+        F.collect_list(F.struct("term", "weight")).alias("_terms"),
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"),
+    )
+    return gathered.select(key, "_length", F.inline("_terms")).select(
+        key, "term", (F.col("weight") / F.col("_length")).alias("weight")
+    )
+
+
 def class_centers(df: DataFrame, vector: str, key: str) -> DataFrame:
     """Mean vector per class, columns (key, center).
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import version_uri
-from modelyard.operators.align import small_side
+from modelyard.operators.align import keyed_join
 
 CHAMPION = "champion"
 FINISHED = "FINISHED"
@@ -186,7 +186,7 @@ def move_alias(versions: DataFrame, alias: str, targets: DataFrame) -> DataFrame
         .when(F.col("_version") == F.col("version"), F.array_union("aliases", has))
         .otherwise(F.array_except("aliases", has))
     )
-    return versions.join(small_side(chosen), "name", "left").withColumn("aliases", moved).drop("_version")
+    return keyed_join(versions, chosen, "name", "left").withColumn("aliases", moved).drop("_version")
 
 
 def move_stage(versions: DataFrame, stage: str, targets: DataFrame, archive: str = "Archived") -> DataFrame:
@@ -197,4 +197,4 @@ def move_stage(versions: DataFrame, stage: str, targets: DataFrame, archive: str
         .when(F.col("_version").isNotNull() & (F.col("stage") == stage), F.lit(archive))
         .otherwise(F.col("stage"))
     )
-    return versions.join(small_side(chosen), "name", "left").withColumn("stage", moved).drop("_version")
+    return keyed_join(versions, chosen, "name", "left").withColumn("stage", moved).drop("_version")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.text import ari_grade
 from modelyard.operators.conversations import evaluate_responses, evaluation_means, exchanges, histories
-from modelyard.operators.features import class_centers, cosine_to, term_weights
+from modelyard.operators.features import class_centers, cosine_to, hashed_term_weights, term_weights
 from modelyard.queries import query, rounded, table
 
 EXCHANGES = """x AS (SELECT a.conv_id, a.turn, a.text AS prompt, b.text AS response
@@ -68,11 +68,10 @@ def rouge2_scores(spark, folder):
 @query(
     "reading_grades",
     "X2",
-    f"WITH texts AS (SELECT doc_id AS id, text FROM documents), {ARI} SELECT id AS doc_id, round(grade, 6) AS ari_grade FROM graded",
+    f"WITH texts AS (SELECT doc_id AS id, text FROM documents), {ARI} SELECT id AS doc_id, grade AS ari_grade FROM graded",
 )
 def reading_grades(spark, folder):
-    documents = table(spark, folder, "documents")
-    return rounded(documents.select("doc_id", ari_grade(F.col("text")).alias("ari_grade")))
+    return table(spark, folder, "documents").select("doc_id", ari_grade(F.col("text")).alias("ari_grade"))
 
 
 @query(
@@ -114,7 +113,19 @@ def cosine_to_class_center(spark, folder):
     return rounded(cosine_to(vectors, "embedding", centers, "label").select("vec_id", "label", "cosine"))
 
 
-@query("document_term_weights", "X5")
+@query(
+    "document_term_weights",
+    "X5",
+    """WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
+            c AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY 1, 2),
+            f AS (SELECT term, count(*) AS found FROM c GROUP BY 1),
+            w AS (SELECT doc_id, term, n * (ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + found)) + 1) AS weight FROM c JOIN f USING (term))
+       SELECT doc_id, term, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+)
 def document_term_weights(spark, folder):
-    weighted = term_weights(table(spark, folder, "documents").select("doc_id", "text"), "text")
-    return weighted.select("doc_id", "tfidf")
+    return rounded(term_weights(table(spark, folder, "documents"), "doc_id", "text"))
+
+
+@query("hashed_term_weights", "X5")
+def hashed_term_weights_(spark, folder):
+    return hashed_term_weights(table(spark, folder, "documents"), "text").select("doc_id", "tfidf")

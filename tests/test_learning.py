@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -59,9 +61,14 @@ def test_indicators(spark):
 
 
 def test_term_weights(spark):
-    df = spark.createDataFrame([(1, "red fish"), (2, "red bird")], "id int, t string")
-    sizes = [len(r.tfidf.indices) for r in X.term_weights(df, "t", buckets=1 << 10).collect()]
-    assert sizes == [2, 2]
+    df = spark.createDataFrame([(1, "Red fish, red"), (2, "red bird"), (3, "a")], "id int, t string")
+    found = {(r.id, r.term): r.weight for r in X.term_weights(df, "id", "t").collect()}
+    red, rare = math.log(4 / 3) + 1, math.log(4 / 2) + 1
+    assert set(found) == {(1, "red"), (1, "fish"), (2, "red"), (2, "bird")}
+    assert found[(1, "red")] == pytest.approx(2 * red / math.hypot(2 * red, rare))
+    assert found[(2, "bird")] == pytest.approx(rare / math.hypot(red, rare))
+    sizes = [len(r.tfidf.indices) for r in X.hashed_term_weights(df, "t", buckets=1 << 10).collect()]
+    assert sizes == [2, 2, 0]
 
 
 def test_compared_regressors_beat_the_mean(spark, line):

@@ -1,9 +1,10 @@
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from modelyard.operators import scoring as S
 from modelyard.sources.predictions import PredictionTable
-from modelyard.operators.align import next_in_sequence, with_single, zip_lists
+from modelyard.operators.align import keyed_join, next_in_sequence, with_single, zip_lists
 from modelyard.operators import routing
 
 NAN = float("nan")
@@ -62,6 +63,16 @@ def test_zip_stops_at_the_shorter_list(spark):
     assert found == [[(1, "a"), (2, "b")], []]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("max_rows", [100, 1])
+def test_keyed_join_spreads_a_hot_key(spark, how, max_rows):
+    left = spark.range(900).select(F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("key"), "id")
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "key string, v int")
+    joined = keyed_join(left, right, "key", how, salts=8, max_rows=max_rows)
+    assert joined.exceptAll(left.join(right, "key", how)).count() == 0
+    assert joined.count() == left.join(right, "key", how).count()
+
+
 def test_next_in_sequence(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 4, "c")], "key string, turn int, text string")
     found = next_in_sequence(df, "key", "turn", ["text"]).collect()
