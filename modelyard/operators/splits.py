@@ -70,9 +70,11 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
     tail, need = df.select(*order_by), position
     for name in order_by:
         while True:
-            rows, low, high = tail.agg(
-                F.count("*"), F.min(name).cast("string"), F.max(name).cast("string")
+            rows, known, low, high = tail.agg(
+                F.count("*"), F.count(name), F.min(name).cast("string"), F.max(name).cast("string")
             ).first()
+            if known < rows:
+                raise ValueError(f"{name} is null in some rows: they have no position")
             if rows <= tail_rows:
                 upto = tail.orderBy(*order_by).limit(need)
                 last = upto.orderBy(*[F.desc(c) for c in order_by]).limit(1)
@@ -81,6 +83,8 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
                 break
             offset = _offset(tail, name, low)
             first, last = tail.agg(F.min(offset), F.max(offset)).first()
+            if first == last:
+                raise ValueError(f"{name}: values differ by less than a double can tell")
             share = (offset - F.lit(first)) / F.lit(last - first)
             slot = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
             for found, n in sorted(tail.groupBy(slot.alias("slot")).count().collect()):

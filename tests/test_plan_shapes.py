@@ -64,11 +64,3 @@ def test_filters_reach_the_scan(plan, name, pushed):
 def test_metrics_stay_out_of_python(plan, name):
     shown = plan(name)
     assert "Python" not in shown and "Pandas" not in shown
-
-
-@pytest.mark.parametrize("name", sorted(set(queries())))
-def test_no_pairwise_joins(spark, folder, name):
-    if name in {"train_and_register", "streamed_scoring", "regression_report"} or "grid" in name or "lab" in name or "classifier" in name:
-        pytest.skip("fits models; its frames are checked on their own")
-    shown = plan_of(queries()[name](spark, folder))
-    assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown

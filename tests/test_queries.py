@@ -9,7 +9,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, as_rows
 from modelyard.queries import all_queries
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan_of
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -30,6 +30,8 @@ def sql():
 @pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
 def test_equals_sql(spark, folder, sql, name):
     df = queries()[name](spark, folder)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, "rows are paired without a key"
     cursor = sql.execute(oracle_sql()[name])
     assert as_rows(df.columns, df.collect()) == as_rows([d[0] for d in cursor.description], cursor.fetchall())
 

@@ -66,6 +66,11 @@ def test_position_search_by_type(spark, kind):
     assert int(found["id"]) == wanted[122][1]
 
 
+def test_position_search_refuses_nulls(spark):
+    with pytest.raises(ValueError, match="null in some rows"):
+        S.row_at(spark.createDataFrame([(1,), (None,)], "v int"), ["v"], 1)
+
+
 def test_ordered_split_keeps_the_order(numbered):
     halves = S.with_ordered_split(numbered, ["tens", "id"], 0.5)
     assert sides(halves) == {"train": 518, "test": 519}
