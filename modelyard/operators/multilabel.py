@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from modelyard.functions.scalars import bind
+
 
 def _overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
@@ -84,10 +86,21 @@ def ndcg_at(ranked: Column, relevant: Column, k: int) -> Column:
 
 
 def ranking_metrics(df: DataFrame, ranked: str, relevant: str, k: int) -> DataFrame:
-    r, t = F.col(ranked), F.col(relevant)
-    return df.agg(
+    """Precision at k, mean average precision and NDCG at k over all rows."""
+
+    def measured(pair: Column) -> Column:
+        r, t = pair["ranked"], pair["relevant"]
+        return F.struct(
+            precision_at(r, t, k).alias("precision"),
+            average_precision(r, t).alias("average"),
+            ndcg_at(r, t, k).alias("ndcg"),
+        )
+
+    # Both lists are evaluated once per row, however often the metrics look at them.
+    pair = F.struct(F.col(ranked).alias("ranked"), F.col(relevant).alias("relevant"))
+    return df.select(bind(pair, measured).alias("m")).agg(
         F.count("*").alias("n"),
-        F.avg(precision_at(r, t, k)).alias("precision_at_k"),
-        F.avg(average_precision(r, t)).alias("map"),
-        F.avg(ndcg_at(r, t, k)).alias("ndcg_at_k"),
+        F.avg("m.precision").alias("precision_at_k"),
+        F.avg("m.average").alias("map"),
+        F.avg("m.ndcg").alias("ndcg_at_k"),
     )

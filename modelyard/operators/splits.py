@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
 
-from modelyard.functions.keys import below_fraction, digest, digest_number
+from modelyard.functions.keys import below_fraction, digest
 
 TRAIN, TEST = "train", "test"
 # Rows one task may sort to find a position, and buckets one pass counts.
 TAIL_ROWS = 200_000
 BUCKETS = 4096
+# Hexadecimal digits of a digest, and how many of them one pass counts by.
+DIGEST_LENGTH = 32
+PASS_DIGITS = 3
 
 
 def first_rows(df: DataFrame, n: int, *order_by: str) -> DataFrame:
@@ -76,9 +80,11 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
             if known < rows:
                 raise ValueError(f"{name} is null in some rows: they have no position")
             if rows <= tail_rows:
-                upto = tail.orderBy(*order_by).limit(need)
-                last = upto.orderBy(*[F.desc(c) for c in order_by]).limit(1)
-                return last.select([F.col(c).cast("string") for c in order_by]).first().asDict()
+                upto = tail.orderBy(*order_by).limit(need + 1).orderBy(*[F.desc(c) for c in order_by]).limit(2)
+                last = upto.select([F.col(c).cast("string") for c in order_by]).collect()
+                if rows > need and last[0] == last[1]:
+                    raise ValueError(f"columns {order_by} must identify a row: copies fall on both sides of the cut")
+                return last[0 if rows == need else 1].asDict()
             if low == high:
                 break
             offset = _offset(tail, name, low)
@@ -92,7 +98,7 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
                     break
                 need -= n
             tail = tail.filter(slot == found)
-    raise ValueError(f"columns {order_by} do not put the rows in one order")
+    raise ValueError(f"columns {order_by} must identify a row: copies fall on both sides of the cut")
 
 
 def _not_after(df: DataFrame, order_by: list[str], row: dict[str, str]) -> Column:
@@ -105,14 +111,41 @@ def _not_after(df: DataFrame, order_by: list[str], row: dict[str, str]) -> Colum
     return reduce(lambda a, b: a | b, [*alternatives, same])
 
 
-def _split_at(df: DataFrame, order_by: list[str], n_first: int, first: str, second: str) -> DataFrame:
-    if n_first <= 0:
-        return df.withColumn("split", F.lit(second))
-    inside = _not_after(df, order_by, row_at(df, order_by, n_first))
-    taken = df.filter(inside).count()
-    if taken != n_first:
-        raise ValueError(f"columns {order_by} must identify a row: {taken} rows fall where {n_first} should")
-    return df.withColumn("split", F.when(inside, first).otherwise(second))
+def digest_at(
+    df: DataFrame, key: list[str], seed: int, position: Callable[[int], int], tail_rows: int = TAIL_ROWS
+) -> str:
+    """The digest at a 1-based position among all rows' digests.
+
+    ``position`` is worked out from the number of rows, which the first pass finds.
+    Digests are evenly spread, so counting rows by their leading digits narrows
+    the search 4096-fold per pass. Empty when no row is to be taken.
+    """
+    tail, need, at = df.select(digest(seed, *key).alias("digest")), None, 1
+    while at <= DIGEST_LENGTH:
+        leading = F.substring("digest", at, PASS_DIGITS)
+        counts = sorted(tail.groupBy(leading.alias("leading")).count().collect())
+        if need is None:
+            need = position(sum(n for _, n in counts))
+            if need <= 0:
+                return ""
+        for found, n in counts:
+            if need <= n:
+                break
+            need -= n
+        tail, at = tail.filter(leading == found), at + PASS_DIGITS
+        if n <= tail_rows:
+            last = tail.orderBy("digest").limit(need + 1).orderBy(F.desc("digest")).limit(2).collect()
+            if n > need and last[0] == last[1]:
+                break
+            return last[0 if n == need else 1]["digest"]
+    raise ValueError(f"columns {key} must identify a row: copies fall on both sides of the cut")
+
+
+def _with_first(
+    df: DataFrame, key: list[str], seed: int, position: Callable[[int], int], inside: str, outside: str
+) -> DataFrame:
+    cut = digest_at(df, key, seed, position)
+    return df.withColumn("split", F.when(digest(seed, *key) <= cut, inside).otherwise(outside))
 
 
 def with_exact_split(
@@ -121,9 +154,7 @@ def with_exact_split(
     """Exactly ceil(fraction * rows) test rows: those with the smallest seeded
     digest. ``key`` must be unique. The digest of the last test row is found by
     counting, then every row is marked where it stands, without a shuffle."""
-    n_test = math.ceil(round(test_fraction * df.count(), 9))
-    ordered = df.withColumn("_digest", digest_number(seed, *key))
-    return _split_at(ordered, ["_digest", *key], n_test, TEST, TRAIN).drop("_digest")
+    return _with_first(df, key, seed, lambda rows: _share(rows, test_fraction), TEST, TRAIN)
 
 
 def exact_split(
@@ -133,19 +164,23 @@ def exact_split(
     return tuple(marked.filter(F.col("split") == s).drop("split") for s in (TRAIN, TEST))
 
 
+def _share(rows: int, fraction: float) -> int:
+    return math.ceil(round(fraction * rows, 9))
+
+
 def with_ordered_split(df: DataFrame, order_by: list[str], test_fraction: float = 0.5) -> DataFrame:
     """The first rows in the given total order train, the rest test."""
     rows = df.count()
-    n_train = rows - math.ceil(round(test_fraction * rows, 9))
-    return _split_at(df, order_by, n_train, TRAIN, TEST)
+    n_train = rows - _share(rows, test_fraction)
+    if n_train <= 0:
+        return df.withColumn("split", F.lit(TEST))
+    inside = _not_after(df, order_by, row_at(df, order_by, n_train))
+    return df.withColumn("split", F.when(inside, TRAIN).otherwise(TEST))
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, chosen by seeded digest of a unique key."""
     if n <= TAIL_ROWS:
         return df.orderBy(digest(seed, *key), *key).limit(n)
-    rows = df.count()
-    if n >= rows:
-        return df
-    ordered = df.withColumn("_digest", digest_number(seed, *key))
-    return _split_at(ordered, ["_digest", *key], n, "in", "out").filter("split = 'in'").drop("_digest", "split")
+    marked = _with_first(df, key, seed, lambda rows: min(n, rows), "in", "out")
+    return marked.filter("split = 'in'").drop("split")

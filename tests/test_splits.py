@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from modelyard.functions.keys import digest
 from modelyard.operators import splits as S
 
 
@@ -31,6 +32,14 @@ def test_exact_split_has_the_exact_size(numbered):
     assert S.exact_split(numbered, ["id"], 0.2, seed=8)[1].exceptAll(test).count() > 0
 
 
+@pytest.mark.parametrize("tail_rows", [1_000_000, 20, 1])
+def test_digest_search_matches_a_sort(numbered, tail_rows):
+    ordered = sorted(r.d for r in numbered.select(digest(5, "id").alias("d")).collect())
+    for position in (1, 2, 500, 1036, 1037):
+        assert S.digest_at(numbered, ["id"], 5, lambda rows: position, tail_rows) == ordered[position - 1]
+    assert S.digest_at(numbered, ["id"], 5, lambda rows: 0) == ""
+
+
 def test_share_of_a_round_number_is_not_rounded_up(spark):
     assert sides(S.with_exact_split(spark.range(10), ["id"], 0.3))["test"] == 3
 
