@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,11 @@ def keyed_join(
     others = [c for c in left.columns if c != key]
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def join_few(df: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Add the columns of a frame known to have few rows, one per key; a null key meets the null key."""
+    others = [c for c in few.columns if c not in keys]
+    renamed = few.select(*[F.col(k).alias(f"_few_{k}") for k in keys], *others)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_few_{k}")) for k in keys])
+    return df.join(F.broadcast(renamed), same, how).drop(*[f"_few_{k}" for k in keys])

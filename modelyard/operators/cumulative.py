@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from modelyard.operators.align import join_few
+
 MAX_KEYS = 10_000
 # Rows of one key that a single task may sort; beyond it the key gets 2**levels buckets.
 TASK_ROWS = 1_000_000
@@ -35,13 +37,19 @@ def _levels(sizes: list[int], task_rows: int) -> int:
     return min(wanted, MAX_LEVELS, int(math.log2(MAX_BUCKETS / len(sizes))))
 
 
-def _edges(df: DataFrame, keys: list[str], value: str, levels: int) -> DataFrame:
-    """Bucket edges per key, fixed on the driver so that every reader of the
-    result sees the same ones."""
+def _with_bucket(distinct: DataFrame, df: DataFrame, value: str, keys: list[str], levels: int) -> DataFrame:
+    """``_bucket`` by value range. The edges are fixed on the driver, so that every
+    reader of the result sees the same ones."""
     n = 2**levels - 1
     shares = [(i + 1) / (n + 1) for i in range(n)]
     found = df.groupBy(*keys).agg(F.percentile_approx(value, shares, max(8 * n, 1000)).alias("_edges"))
-    return df.sparkSession.createDataFrame(few_keys(found, keys), found.schema)
+    rows = few_keys(found, keys)
+    if not keys:
+        edges = F.lit(rows[0]["_edges"])
+        return distinct.withColumn("_bucket", _bucket(edges, F.col(value), levels))
+    local = df.sparkSession.createDataFrame(rows, found.schema)
+    joined = join_few(distinct, local, keys)
+    return joined.withColumn("_bucket", _bucket(F.col("_edges"), F.col(value), levels)).drop("_edges")
 
 
 def _bucket(edges: Column, value: Column, levels: int) -> Column:
@@ -71,28 +79,20 @@ def running_totals(
     top of the buckets below it. The totals do not depend on where the edges lie.
     ``sizes``, the rows of each key, saves counting when they are known.
     """
-    df = df.filter(F.col(value).isNotNull())
-    if not keys:
-        totals = running_totals(df.withColumn("_all", F.lit(0)), value, measures, ["_all"], task_rows, sizes)
-        return totals.drop("_all")
+    df, keys = df.filter(F.col(value).isNotNull()), keys or []
     levels = _levels(key_sizes(df, keys) if sizes is None else sizes, task_rows)
     distinct = df.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
     if levels == 0:
         return _add_up(distinct, value, measures, keys)
 
-    edges = _edges(df, keys, value, levels)
-    placed = (
-        distinct.join(F.broadcast(edges), keys)
-        .withColumn("_bucket", _bucket(F.col("_edges"), F.col(value), levels))
-        .drop("_edges")
-    )
+    placed = _with_bucket(distinct, df, value, keys, levels)
     sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
     # At most MAX_BUCKETS rows.
     below = _add_up(sums, "_bucket", measures, keys).select(
         *keys, "_bucket", *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_{m}_below") for m in measures]
     )
     inside = _add_up(placed, value, measures, [*keys, "_bucket"])
-    return inside.join(F.broadcast(below), [*keys, "_bucket"]).select(
+    return join_few(inside, below, [*keys, "_bucket"]).select(
         *keys, value, *measures, *[(F.col(f"{m}_upto") + F.col(f"_{m}_below")).alias(f"{m}_upto") for m in measures]
     )
 
@@ -113,7 +113,7 @@ def exact_quantiles(
     ones = df.withColumn("n", F.lit(1).cast("bigint"))
     totals = running_totals(ones, value, ["n"], keys, task_rows, [r["_rows"] for r in found])
     if keys:
-        joined = totals.join(F.broadcast(df.sparkSession.createDataFrame(found, counts.schema)), keys)
+        joined = join_few(totals, df.sparkSession.createDataFrame(found, counts.schema), keys)
     else:
         joined = totals.withColumn("_rows", F.lit(found[0]["_rows"]))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelyard.operators.align import join_few
 from modelyard.operators.cumulative import exact_quantiles
 
 
@@ -44,7 +45,8 @@ def request_summary(
         F.nullif(seconds, F.lit(0)).alias("_seconds"),
     )
     percentiles = exact_quantiles(log, latency, list(shares), by).drop("n")
-    return totals.join(percentiles, by, "left").select(
+    # One row per group on both sides, and the groups were counted to be few.
+    return join_few(totals, percentiles, by, "left").select(
         *by, "requests", (F.col("requests") / F.col("_seconds")).alias("requests_per_second"),
         "time_per_request", *[c for c in percentiles.columns if c not in by],
     )

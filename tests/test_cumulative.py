@@ -48,6 +48,17 @@ def test_nulls_are_left_out_and_nothing_stays_nothing(spark):
     assert running_totals(df.filter("false"), "value", ["w"]).count() == 0
 
 
+@pytest.mark.parametrize("task_rows", [1000, 5])
+def test_rows_of_the_null_key_are_kept(spark, task_rows):
+    df = spark.range(60).select(
+        F.when(F.col("id") % 2 == 0, "k").alias("key"), F.col("id").cast("double").alias("v"), F.lit(1).cast("bigint").alias("w")
+    )
+    totals = running_totals(df, "v", ["w"], ["key"], task_rows=task_rows)
+    assert {r.key: r.n for r in totals.groupBy("key").agg(F.max("w_upto").alias("n")).collect()} == {"k": 30, None: 30}
+    quantiles = exact_quantiles(df, "v", [0.0, 1.0], ["key"], task_rows=task_rows)
+    assert {r.key: (r.n, r.p0, r.p100) for r in quantiles.collect()} == {"k": (30, 0.0, 58.0), None: (30, 1.0, 59.0)}
+
+
 def test_many_rows_are_never_sorted_in_one_task(spark):
     df = spark.range(5000).select(F.col("id").cast("double").alias("value"), F.lit(1).cast("bigint").alias("w"))
     plan = plan_of(running_totals(df, "value", ["w"], task_rows=100))
