@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op2_bpe_round_trip
 from .secrets import op10_secret_spans
 
 QUERIES = {
+    "op2_bpe_round_trip": op2_bpe_round_trip,
     "op10_secret_spans": op10_secret_spans,
 }
 
