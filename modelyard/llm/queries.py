@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe_round_trip
+from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
 
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op5_line_rules": op5_line_rules,
     "op10_secret_spans": op10_secret_spans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_line_rules": OP5_SQL,
+}
