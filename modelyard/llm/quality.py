@@ -112,10 +112,14 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), {_WORDS}) AS words
   FROM documents
+), u AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d
 ), w AS (
-  SELECT r, p, words[p:p + {WINDOW - 1}] AS win FROM (SELECT r, words, unnest(range(1, len(words) - {WINDOW - 2})) AS p FROM d)
+  SELECT r, p, list_value(word, {", ".join(f"lead(word, {i}) OVER q" for i in range(1, WINDOW))}) AS win,
+    lead(word, {WINDOW - 1}) OVER q IS NOT NULL AS whole
+  FROM u WINDOW q AS (PARTITION BY r ORDER BY p)
 ), t AS (
-  SELECT r, p, count(*) OVER (PARTITION BY r, win) AS n FROM w
+  SELECT r, p, count(*) OVER (PARTITION BY r, win) AS n FROM w WHERE whole
 ), rep AS (
   SELECT r, count(DISTINCT p + i) AS n_repeat_words FROM t, range({WINDOW}) AS s(i) WHERE n > 1 GROUP BY r
 ), l AS (
