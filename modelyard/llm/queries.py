@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe_round_trip
+from .licenses import op9_license_chains
 from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
 
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op5_line_rules": op5_line_rules,
+    "op9_license_chains": op9_license_chains,
     "op10_secret_spans": op10_secret_spans,
 }
 
