@@ -5,12 +5,14 @@ from __future__ import annotations
 from .bpe import op2_bpe_round_trip
 from .licenses import op9_license_chains
 from .mixing import OP7_SQL, op7_golden_mix
+from .near import op6_near_classes
 from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
 
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op5_line_rules": op5_line_rules,
+    "op6_near_classes": op6_near_classes,
     "op7_golden_mix": op7_golden_mix,
     "op9_license_chains": op9_license_chains,
     "op10_secret_spans": op10_secret_spans,
@@ -18,5 +20,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_line_rules": OP5_SQL,
+    "op6_near_classes": op6_near_classes,
     "op7_golden_mix": OP7_SQL,
 }
