@@ -8,9 +8,11 @@ from .mixing import OP7_SQL, op7_golden_mix
 from .near import op6_near_classes
 from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_toxicity": op3_toxicity,
     "op5_line_rules": op5_line_rules,
     "op6_near_classes": op6_near_classes,
     "op7_golden_mix": op7_golden_mix,
