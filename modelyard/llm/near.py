@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,12 +51,11 @@ class WordNumbers(dict):
 
     LIMIT = 500_000
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
+    def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        number = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        data = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
+        number = self[word] = xxhash.xxh64_intdigest(data)
         return number
 
 

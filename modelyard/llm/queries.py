@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op2_bpe_round_trip
 from .licenses import op9_license_chains
+from .lm import op1_deleted_interpolation
 from .mixing import OP7_SQL, op7_golden_mix
 from .near import op6_near_classes
 from .quality import OP5_SQL, op5_line_rules
@@ -11,6 +12,7 @@ from .secrets import op10_secret_spans
 from .toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_toxicity": op3_toxicity,
     "op5_line_rules": op5_line_rules,

@@ -22,7 +22,7 @@ def test_machine_learns_a_pair_that_weights_alone_cannot():
         rows.append(np.array([i for i, on in enumerate((insult, group, pick.random() < 0.5)) if on], dtype=np.int64))
         labels.append(float(insult == group))
     machine = fit_machine(np.arange(3), rows, np.array(labels))
-    assert machine.score([0, 1]) > 0.9 and machine.score([0]) < 0.1 and machine.score([1]) < 0.1 and machine.score([]) > 0.9
+    assert machine.score([0, 1]) > 0.8 and machine.score([0]) < 0.2 and machine.score([1]) < 0.2 and machine.score([]) > 0.8
 
 
 def test_terms_are_words_and_beginnings():
