@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe_round_trip
+from .language import op4_language_evidence
 from .licenses import op9_license_chains
 from .lm import op1_deleted_interpolation
 from .mixing import OP7_SQL, op7_golden_mix
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_toxicity": op3_toxicity,
+    "op4_language_evidence": op4_language_evidence,
     "op5_line_rules": op5_line_rules,
     "op6_near_classes": op6_near_classes,
     "op7_golden_mix": op7_golden_mix,
