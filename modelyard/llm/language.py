@@ -27,6 +27,8 @@ FIT_ROWS = 5000
 MAX_GRAMS = 30_000
 # Neighbouring triples are not independent: their log likelihoods count half.
 TEMPER = 0.5
+# Share of the even split in a language's estimate of a triple; the class below gives any triple ten times that.
+UNSEEN = 0.01
 # The class of texts that all triples fit equally badly, and how often it is expected.
 NONE, NONE_SHARE = "und", 1e-6
 # Weight of the next wider level against a level's own pages, and of an even split against all counts.
@@ -57,10 +59,11 @@ class TextModel:
     def __init__(self, languages: list[str], counts: dict[str, list[int]]) -> None:
         self.languages = [*languages, NONE]
         self.counts = {g: np.array(n, dtype=float) for g, n in counts.items()}
-        totals = sum(self.counts.values(), np.zeros(len(languages)))
+        totals = np.maximum(sum(self.counts.values(), np.zeros(len(languages))), 1)
         size = len(counts) + 1
-        self.rest = np.append(np.log(SMOOTH / (totals + SMOOTH * size)), -np.log(10 * size))
-        self.rows = {g: np.append(np.log((n + SMOOTH) / (totals + SMOOTH * size)), -np.log(10 * size)) for g, n in self.counts.items()}
+        none = -np.log(10 * size)
+        self.rest = np.append(np.full(len(languages), np.log(UNSEEN / size)), none)
+        self.rows = {g: np.append(np.log((1 - UNSEEN) * n / totals + UNSEEN / size), none) for g, n in self.counts.items()}
 
     def scorer(self):
         memory = Memory(lambda word: sum((self.rows.get(g, self.rest) for g in grams(word)), np.zeros(len(self.languages))))
