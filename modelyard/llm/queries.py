@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .binary_search import op8_multi_index_hashing
 from .bpe import op2_bpe_round_trip
 from .language import op4_language_evidence
 from .licenses import op9_license_chains
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_line_rules": op5_line_rules,
     "op6_near_classes": op6_near_classes,
     "op7_golden_mix": op7_golden_mix,
+    "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_license_chains": op9_license_chains,
     "op10_secret_spans": op10_secret_spans,
 }
