@@ -178,6 +178,18 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     return per_text(docs, lambda text: (codec(spec).encode(text)[0],), "ids array<int>")
 
 
+def encoded_rows(docs: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
+    """``keep``, n_tokens, ids array<int> of every row of ``docs``; a null text has no ids."""
+    spec = _spec(path)
+
+    @F.pandas_udf("array<int>")
+    def ids_of(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in column:
+            yield pd.Series([codec(spec).encode(text or "")[0] for text in texts], dtype=object)
+
+    return docs.select(*keep, ids_of("text").alias("ids")).select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids", into: str = "text") -> DataFrame:
     """All columns of ``rows`` and the text of ``ids`` in ``into``, which replaces a column of that name.
 
