@@ -24,7 +24,7 @@ from .common import id_remainder, table
 from .mixing import n_words, stored
 from .near import G, U, WordNumbers, mixed_bits
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 # Ranges of hashes for each block of texts; a range adds up about a million entries.
 RANGES_PER_BLOCK = 2
 # Of the training texts, every so many'th teaches the weights.

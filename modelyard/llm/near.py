@@ -49,7 +49,7 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
 class WordNumbers(dict):
     """64-bit numbers of words, the same in every task."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.LIMIT:
