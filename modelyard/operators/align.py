@@ -73,9 +73,14 @@ def keyed_join(
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def join_few(df: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Add the columns of a frame known to have few rows, one per key; a null key meets the null key."""
+def join_per_key(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Add the columns of a frame with one row per key; a null key meets the null key.
+
+    Any number of keys: Spark sends ``per_key`` to every task if its size allows,
+    and splits a key that holds too many rows otherwise.
+    """
+    few = per_key
     others = [c for c in few.columns if c not in keys]
     renamed = few.select(*[F.col(k).alias(f"_few_{k}") for k in keys], *others)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_few_{k}")) for k in keys])
-    return df.join(F.broadcast(renamed), same, how).drop(*[f"_few_{k}" for k in keys])
+    return df.join(renamed, same, how).drop(*[f"_few_{k}" for k in keys])

@@ -126,22 +126,23 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def confusion_wide(df: DataFrame, label: str, prediction: str, classes: list) -> DataFrame:
-    """One row per label, one count column per listed class."""
-    pivoted = confusion_counts(df, label, prediction).groupBy("label").pivot("prediction", classes)
-    return pivoted.agg(F.sum("n")).na.fill(0, [str(c) for c in classes])
+    """One row per label, one count column per listed class, and ``other``, the
+    predictions of any class not listed (null ones included)."""
+    counts = confusion_counts(df, label, prediction)
+    listed = F.coalesce(F.col("prediction").isin(classes), F.lit(False))
+    columns = [F.coalesce(F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n"))), F.lit(0)).alias(str(c)) for c in classes]
+    return counts.groupBy("label").agg(*columns, F.coalesce(F.sum(F.when(~listed, F.col("n"))), F.lit(0)).alias("other"))
 
 
-def confusion_json(df: DataFrame, label: str, prediction: str, max_classes: int = 1000) -> DataFrame:
+def confusion_json(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """The dense matrix as one JSON text, rows and columns in class order.
 
-    A square matrix only makes sense for a class list that can be read whole;
-    ``confusion_counts`` has the same numbers for any number of classes.
+    The text has a cell for each pair of classes, which is its size whatever the
+    rows; ``confusion_counts`` has the same numbers as a table.
     """
     pairs = confusion_counts(df, label, prediction)
     names = pairs.select(F.explode(F.array("label", "prediction")).alias("class")).distinct()
-    classes = sorted(r["class"] for r in names.limit(max_classes + 1).collect())
-    if len(classes) > max_classes:
-        raise ValueError(f"more than {max_classes} classes: use confusion_counts")
+    classes = sorted(r["class"] for r in names.collect())
     by_label = pairs.groupBy("label").agg(
         F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("counts")
     )

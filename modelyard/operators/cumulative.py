@@ -2,64 +2,33 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modelyard.operators.align import join_few
+from modelyard.operators.align import join_per_key
+from modelyard.session import scratch_path
 
-MAX_KEYS = 10_000
-# Rows of one key that a single task may sort; beyond it the key gets 2**levels buckets.
+# Rows of one key that a single task may put in order; a larger key is spread over ranges of its values.
 TASK_ROWS = 1_000_000
-MAX_LEVELS = 12
-# Buckets over all keys: what is sent whole to every task stays within tens of megabytes.
-MAX_BUCKETS = 2**20
-
 
-def few_keys(per_key: DataFrame, keys: list[str]) -> list:
-    """Rows of a frame with one row per key; keys are few (features, types): checked."""
-    rows = per_key.limit(MAX_KEYS + 1).collect()
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"running totals take at most {MAX_KEYS} keys, here {keys} has more")
-    return rows
 
+def largest_key(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the key that has most."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
-def key_sizes(df: DataFrame, keys: list[str]) -> list[int]:
-    return [r["count"] for r in few_keys(df.groupBy(*keys).count(), keys)]
 
+def _in_ranges(distinct: DataFrame, value: str, keys: list[str], task_rows: int) -> DataFrame:
+    """The rows dealt by ranges of (keys, value), with the number of the range in ``_range``.
 
-def _levels(sizes: list[int], task_rows: int) -> int:
-    largest = max(sizes, default=0)
-    if largest <= task_rows:
-        return 0
-    wanted = math.ceil(math.log2(largest / task_rows)) + 1
-    return min(wanted, MAX_LEVELS, int(math.log2(MAX_BUCKETS / len(sizes))))
-
-
-def _with_bucket(distinct: DataFrame, df: DataFrame, value: str, keys: list[str], levels: int) -> DataFrame:
-    """``_bucket`` by value range. The edges are fixed on the driver, so that every
-    reader of the result sees the same ones."""
-    n = 2**levels - 1
-    shares = [(i + 1) / (n + 1) for i in range(n)]
-    found = df.groupBy(*keys).agg(F.percentile_approx(value, shares, max(8 * n, 1000)).alias("_edges"))
-    rows = few_keys(found, keys)
-    if not keys:
-        edges = F.lit(rows[0]["_edges"])
-        return distinct.withColumn("_bucket", _bucket(edges, F.col(value), levels))
-    local = df.sparkSession.createDataFrame(rows, found.schema)
-    joined = join_few(distinct, local, keys)
-    return joined.withColumn("_bucket", _bucket(F.col("_edges"), F.col(value), levels)).drop("_edges")
-
-
-def _bucket(edges: Column, value: Column, levels: int) -> Column:
-    """Number of edges below the value, by binary search."""
-    strides = F.array(*[F.lit(2**i) for i in reversed(range(levels))])
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda at, step: at + F.when(F.get(edges, at + step - 1) < value, step).otherwise(F.lit(0)),
-    )
+    The rows are distinct, so ranges come out even whatever the values. They are
+    written, so that every reader sees the same ranges; nothing of them is sent to
+    the rows or to the driver.
+    """
+    ranges = distinct.count() // task_rows + 2
+    path = scratch_path(distinct.sparkSession, "ranges")
+    dealt = distinct.repartitionByRange(ranges, *keys, value).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    return distinct.sparkSession.read.parquet(path)
 
 
 def running_totals(
@@ -68,31 +37,32 @@ def running_totals(
     measures: list[str],
     keys: list[str] | None = None,
     task_rows: int = TASK_ROWS,
-    sizes: list[int] | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per (keys, value): each measure's sum there, and ``<measure>_upto``,
     its sum over all values not above this one. Null values are left out.
 
     Rows are first reduced to distinct values, so a value repeated any number of
-    times is one row afterwards. A key with more rows than one task should sort
-    has its values spread over buckets by range; a bucket adds up its own rows on
-    top of the buckets below it. The totals do not depend on where the edges lie.
-    ``sizes``, the rows of each key, saves counting when they are known.
+    times is one row afterwards. If a key has more rows than one task should put in
+    order, all rows are dealt by ranges of key and value; a range adds up its own
+    rows on top of the ranges below it. The totals are the same either way, for any
+    number of keys and rows. ``largest``, a bound of the rows of any key, saves counting.
     """
     df, keys = df.filter(F.col(value).isNotNull()), keys or []
-    levels = _levels(key_sizes(df, keys) if sizes is None else sizes, task_rows)
+    largest = largest_key(df, keys) if largest is None else largest
     distinct = df.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
-    if levels == 0:
+    if largest <= task_rows:
         return _add_up(distinct, value, measures, keys)
 
-    placed = _with_bucket(distinct, df, value, keys, levels)
-    sums = placed.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    # At most MAX_BUCKETS rows.
-    below = _add_up(sums, "_bucket", measures, keys).select(
-        *keys, "_bucket", *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_{m}_below") for m in measures]
+    placed = _in_ranges(distinct, value, keys, task_rows)
+    within = [*keys, "_range"]
+    sums = placed.groupBy(*within).agg(*[F.sum(m).alias(m) for m in measures])
+    # One row per key and range that holds it.
+    below = _add_up(sums, "_range", measures, keys).select(
+        *within, *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_{m}_below") for m in measures]
     )
-    inside = _add_up(placed, value, measures, [*keys, "_bucket"])
-    return join_few(inside, below, [*keys, "_bucket"]).select(
+    inside = _add_up(placed, value, measures, within)
+    return join_per_key(inside, below, within).select(
         *keys, value, *measures, *[(F.col(f"{m}_upto") + F.col(f"_{m}_below")).alias(f"{m}_upto") for m in measures]
     )
 
@@ -109,13 +79,11 @@ def exact_quantiles(
     keys = keys or []
     df = df.filter(F.col(value).isNotNull())
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    found = few_keys(counts, keys)
+    largest = counts.agg(F.max("_rows")).first()[0] or 0
     ones = df.withColumn("n", F.lit(1).cast("bigint"))
-    totals = running_totals(ones, value, ["n"], keys, task_rows, [r["_rows"] for r in found])
-    if keys:
-        joined = join_few(totals, df.sparkSession.createDataFrame(found, counts.schema), keys)
-    else:
-        joined = totals.withColumn("_rows", F.lit(found[0]["_rows"]))
+    totals = running_totals(ones, value, ["n"], keys, task_rows, largest)
+    # Without keys the one count is the largest.
+    joined = join_per_key(totals, counts, keys) if keys else totals.withColumn("_rows", F.lit(largest))
 
     def at_rank(rank: Column) -> Column:
         return F.min(F.when(F.col("n_upto") > rank, F.col(value)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import utc_stamp
 from modelyard.operators.contract import ContractError
-from modelyard.operators.cumulative import few_keys, running_totals
+from modelyard.operators.cumulative import running_totals
 from modelyard.operators.registry import latest_version
 
 P_VALUE = 0.05
@@ -39,40 +39,54 @@ def reference_profile(df: DataFrame, features: list[str]) -> DataFrame:
     return long_features(df, features).groupBy("feature", "value").agg(F.count("*").alias("n"))
 
 
-def ks_distance(reference: DataFrame, current: DataFrame) -> DataFrame:
+def ks_distance(reference: DataFrame, current: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """(feature, n_ref, n_cur, distance) from two (feature, value, n) frames.
 
-    The sizes of both sides take one pass and as many rows as there are features;
-    equal values are merged once, on the way to the running totals.
+    ``sizes`` (feature, n_ref, n_cur, n_ref + n_cur as rows, one row per feature) is
+    counted here unless the caller has it.
     """
     zero = F.lit(0).cast("bigint")
     both = reference.select("feature", "value", F.col("n").alias("ref"), zero.alias("cur")).unionAll(
         current.select("feature", "value", zero.alias("ref"), F.col("n").alias("cur"))
     )
-    measured = both.groupBy("feature").agg(
-        F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"), F.count("*").alias("rows")
-    )
-    found = few_keys(measured, ["feature"])
-    sizes = both.sparkSession.createDataFrame(found, measured.schema).drop("rows")
-    totals = running_totals(both, "value", ["ref", "cur"], ["feature"], sizes=[r["rows"] for r in found])
+    if sizes is None:
+        measured = both.groupBy("feature").agg(
+            F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"), F.count("*").alias("rows")
+        )
+        # As many rows as the caller named features.
+        sizes = both.sparkSession.createDataFrame(measured.collect(), measured.schema)
+    largest = sizes.agg(F.max("rows")).first()[0] or 0
+    totals = running_totals(both, "value", ["ref", "cur"], ["feature"], largest=largest)
     gap = F.abs(
         F.col("ref_upto") / F.nullif("n_ref", F.lit(0)) - F.col("cur_upto") / F.nullif("n_cur", F.lit(0))
     )
     return (
-        totals.join(F.broadcast(sizes), "feature")
+        totals.join(F.broadcast(sizes.drop("rows")), "feature")
         .groupBy("feature", "n_ref", "n_cur")
         .agg(F.max(gap).alias("distance"))
     )
 
 
+def feature_sizes(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, n_ref, n_cur, rows): values that count of each feature, from the rows as they stand."""
+    counts = [df.agg(*[F.count(F.col(f).cast("double")).alias(f) for f in features]).first() for df in (reference, current)]
+    rows = [(f, counts[0][f], counts[1][f], counts[0][f] + counts[1][f]) for f in features]
+    known = [r for r in rows if r[3]]
+    return reference.sparkSession.createDataFrame(known, "feature string, n_ref bigint, n_cur bigint, rows bigint")
+
+
 def effective_rows(n_ref: Column, n_cur: Column) -> Column:
     a, b = n_ref.cast("double"), n_cur.cast("double")
     return a * b / (a + b)
 
 
 def limit_p_value(distance: Column, n_ref: Column, n_cur: Column) -> Column:
-    """Kolmogorov's limit distribution, for large samples."""
-    lam = F.sqrt(effective_rows(n_ref, n_cur)) * distance
+    """Kolmogorov's limit distribution at a point moved for the sample size (Vrbik
+    2018): beyond FINITE_ROWS within 1.5 percent of the finite-sample probability,
+    down to 0.001."""
+    root = F.sqrt(effective_rows(n_ref, n_cur))
+    plain = root * distance
+    lam = plain + 1 / (6 * root) + (plain - 1) / (4 * root * root)
 
     def term(k: Column) -> Column:
         sign = F.when(k % 2 == 1, 1.0).otherwise(-1.0)
@@ -111,22 +125,21 @@ def finite_p_value(n: int, distance: float) -> float:
 def _finite_udf():
     @F.pandas_udf("double")
     def finite(rows: pd.Series, distance: pd.Series) -> pd.Series:
-        found = [finite_p_value(int(n), d) if n <= FINITE_ROWS else None for n, d in zip(rows, distance)]
+        found = [None if pd.isna(n) or pd.isna(d) else finite_p_value(int(n), d) for n, d in zip(rows, distance)]
         return pd.Series(found, dtype="float64")
 
     return finite
 
 
-def with_p_value(distances: DataFrame, finite: bool = False) -> DataFrame:
-    """``p_value`` from the limit distribution. With ``finite``, features whose
-    effective sample is small use the finite-sample distribution for the rounded
-    effective size instead (one small matrix per feature)."""
+def with_p_value(distances: DataFrame) -> DataFrame:
+    """``p_value`` of the rounded effective sample size: the finite-sample
+    distribution itself (one small matrix per feature) up to FINITE_ROWS, and the
+    limit corrected for the size beyond, which meets it there."""
     n_ref, n_cur = F.col("n_ref"), F.col("n_cur")
     limit = limit_p_value(F.col("distance"), n_ref, n_cur)
-    if finite:
-        rows = F.rint(effective_rows(n_ref, n_cur)).cast("int")
-        limit = F.coalesce(_finite_udf()(rows, F.col("distance")), limit)
-    return distances.withColumn("p_value", limit)
+    rows = F.rint(effective_rows(n_ref, n_cur)).cast("bigint")
+    finite = _finite_udf()(F.when(rows <= FINITE_ROWS, rows), F.col("distance"))
+    return distances.withColumn("p_value", F.coalesce(finite, limit))
 
 
 def with_decision(tested: DataFrame, n_features: int, alpha: float = P_VALUE) -> DataFrame:
@@ -138,11 +151,12 @@ def with_decision(tested: DataFrame, n_features: int, alpha: float = P_VALUE) ->
 
 
 def drift_test(
-    reference: DataFrame, current: DataFrame, features: list[str], alpha: float = P_VALUE, finite: bool = False
+    reference: DataFrame, current: DataFrame, features: list[str], alpha: float = P_VALUE
 ) -> DataFrame:
     """Test rows for two frames of raw features."""
-    distances = ks_distance(feature_rows(reference, features), feature_rows(current, features))
-    return with_decision(with_p_value(distances, finite), len(features), alpha)
+    sizes = feature_sizes(reference, current, features)
+    distances = ks_distance(feature_rows(reference, features), feature_rows(current, features), sizes)
+    return with_decision(with_p_value(distances), len(features), alpha)
 
 
 def any_drift(tested: DataFrame) -> DataFrame:

@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from modelyard.functions.scalars import cosine
 from modelyard.functions.text import terms
 from modelyard.operators.align import keyed_join
-from modelyard.operators.cumulative import few_keys
-
-MAX_CATEGORIES = 100_000
+from modelyard.operators.cumulative import running_totals
 
 
 def index_stages(strings: list[str], numbers: list[str], output: str = "features") -> list:
@@ -28,16 +26,21 @@ def index_stages(strings: list[str], numbers: list[str], output: str = "features
 
 
 def index_categories(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
-    """``<column>Index`` for rows whose categories all occur in the training rows.
+    """``<column>Index`` (frequent categories first, ties by name) for rows whose
+    categories all occur in the training rows.
 
-    The indexer keeps its categories on the driver, so their number is checked first.
+    Categories are counted, ranked and joined as tables, so there may be any number
+    of them: ranks are counts of the categories that come before, range by range.
     """
-    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"{wide} hold more than {MAX_CATEGORIES} categories")
-    outputs = [f"{c}Index" for c in columns]
-    return StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid="skip").fit(train).transform(df)
+    for name in columns:
+        counted = train.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("_category")).count()
+        order = F.struct((-F.col("count")).alias("n"), F.col("_category").alias("category"))
+        ranked = running_totals(
+            counted.select(order.alias("_order"), F.lit(1).cast("bigint").alias("n")), "_order", ["n"]
+        )
+        index = ranked.select(F.col("_order.category").alias(name), (F.col("n_upto") - 1).cast("double").alias(f"{name}Index"))
+        df = df.join(index, name)
+    return df
 
 
 @dataclass
@@ -64,14 +67,15 @@ class Scaling:
         )
 
 
-def indicators(df: DataFrame, columns: list[str], drop_first: bool = True, max_categories: int = 1000) -> DataFrame:
+def indicators(df: DataFrame, columns: list[str], drop_first: bool = True) -> DataFrame:
     """One 0/1 column ``<column>_<category>`` per category in sorted order, the
-    first one left out; the source columns go."""
+    first one left out; the source columns go.
+
+    The categories become column names, so the driver holds as many as the result has columns.
+    """
     added = {}
     for name in columns:
-        found = df.select(name).filter(F.col(name).isNotNull()).distinct().limit(max_categories + 1).collect()
-        if len(found) > max_categories:
-            raise ValueError(f"{name} holds more than {max_categories} categories")
+        found = df.select(name).filter(F.col(name).isNotNull()).distinct().collect()
         for category in sorted(r[0] for r in found)[1 if drop_first else 0:]:
             hit = F.coalesce(F.col(name) == F.lit(category), F.lit(False))
             added[f"{name}_{category}"] = hit.cast("int")
@@ -130,7 +134,6 @@ def class_centers(df: DataFrame, vector: str, key: str) -> DataFrame:
 def cosine_to(df: DataFrame, vector: str, centers: DataFrame, key: str, center: str = "center") -> DataFrame:
     """Cosine of each row's vector with the center of its own class.
 
-    Classes are few (checked) and sent to every task: rows are not gathered by class.
+    One center per class; Spark sends them to every task if their size allows.
     """
-    few = df.sparkSession.createDataFrame(few_keys(centers, [key]), centers.schema)
-    return df.join(F.broadcast(few), key).withColumn("cosine", cosine(F.col(vector), F.col(center)))
+    return df.join(centers, key).withColumn("cosine", cosine(F.col(vector), F.col(center)))

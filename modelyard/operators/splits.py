@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BinaryType, BooleanType, DateType, IntegralType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from modelyard.functions.keys import below_fraction, digest
 
@@ -59,7 +60,26 @@ def _offset(df: DataFrame, name: str, low: str) -> Column:
         days = F.datediff(here.cast("date"), start.cast(kind).cast("date"))
         seconds = F.hour(here) * 3600 + F.minute(here) * 60 + F.extract(F.lit("SECOND"), here)
         return days * F.lit(86400.0) + seconds.cast("double")
-    raise TypeError(f"{name}: only numbers, dates and timestamps can be searched by position")
+    if isinstance(kind, BooleanType):
+        return here.cast("int").cast("double")
+    raise TypeError(f"{name}: a column of {kind.simpleString()} has no order")
+
+
+def _slices(df: DataFrame, name: str, low: str, high: str) -> Column:
+    """The slice (in order) of the current values between ``low`` and ``high`` that a row falls in.
+
+    Texts and bytes are sliced by the hexadecimal digits behind the ones that all share.
+    """
+    if isinstance(df.schema[name].dataType, (StringType, BinaryType)):
+        digits = F.hex(F.col(name).cast("binary"))
+        ends = df.agg(F.min(digits), F.max(digits)).first()
+        return F.substring(digits, len(os.path.commonprefix(list(ends))) + 1, PASS_DIGITS)
+    offset = _offset(df, name, low)
+    first, last = df.agg(F.min(offset), F.max(offset)).first()
+    if first == last:
+        raise ValueError(f"{name}: values differ by less than a double can tell")
+    share = (offset - F.lit(first)) / F.lit(last - first)
+    return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
 
 
 def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = TAIL_ROWS) -> dict[str, str]:
@@ -72,13 +92,13 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
     so one value holding most rows costs another pass, not a large sort.
     """
     tail, need = df.select(*order_by), position
+    known = tail.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in order_by]).first()
+    unknown = [c for c in order_by if known[c] < known["_rows"]]
+    if unknown:
+        raise ValueError(f"{unknown} null in some rows: they have no position")
     for name in order_by:
         while True:
-            rows, known, low, high = tail.agg(
-                F.count("*"), F.count(name), F.min(name).cast("string"), F.max(name).cast("string")
-            ).first()
-            if known < rows:
-                raise ValueError(f"{name} is null in some rows: they have no position")
+            rows, low, high = tail.agg(F.count("*"), F.min(name).cast("string"), F.max(name).cast("string")).first()
             if rows <= tail_rows:
                 upto = tail.orderBy(*order_by).limit(need + 1).orderBy(*[F.desc(c) for c in order_by]).limit(2)
                 last = upto.select([F.col(c).cast("string") for c in order_by]).collect()
@@ -87,12 +107,7 @@ def row_at(df: DataFrame, order_by: list[str], position: int, tail_rows: int = T
                 return last[0 if rows == need else 1].asDict()
             if low == high:
                 break
-            offset = _offset(tail, name, low)
-            first, last = tail.agg(F.min(offset), F.max(offset)).first()
-            if first == last:
-                raise ValueError(f"{name}: values differ by less than a double can tell")
-            share = (offset - F.lit(first)) / F.lit(last - first)
-            slot = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+            slot = _slices(tail, name, low, high)
             for found, n in sorted(tail.groupBy(slot.alias("slot")).count().collect()):
                 if need <= n:
                     break
@@ -179,8 +194,10 @@ def with_ordered_split(df: DataFrame, order_by: list[str], test_fraction: float
 
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows, chosen by seeded digest of a unique key."""
-    if n <= TAIL_ROWS:
-        return df.orderBy(digest(seed, *key), *key).limit(n)
+    """Exactly min(n, rows) rows: those with the smallest seeded digest of a unique key.
+
+    As in ``with_exact_split``, the last digest is found by counting and rows are
+    marked where they stand, for every ``n``.
+    """
     marked = _with_first(df, key, seed, lambda rows: min(n, rows), "in", "out")
     return marked.filter("split = 'in'").drop("split")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelyard.operators.align import join_few
+from modelyard.operators.align import join_per_key
 from modelyard.operators.cumulative import exact_quantiles
 
 
@@ -34,19 +34,14 @@ def request_summary(
     log: DataFrame, ts: str, latency: str, by: list[str], shares: list[float] = (0.5, 0.95, 0.99)
 ) -> DataFrame:
     """Requests, requests per second, mean latency and exact latency percentiles per group."""
-    seconds = F.datediff(F.max(ts), F.min(ts)) * 86400 + (
-        F.hour(F.max(ts)) - F.hour(F.min(ts))
-    ) * 3600 + (F.minute(F.max(ts)) - F.minute(F.min(ts))) * 60 + (
-        F.second(F.max(ts)) - F.second(F.min(ts))
-    )
+    seconds = F.timestamp_diff("SECOND", F.date_trunc("second", F.min(ts)), F.date_trunc("second", F.max(ts)))
     totals = log.groupBy(*by).agg(
         F.count("*").alias("requests"),
         F.avg(latency).alias("time_per_request"),
         F.nullif(seconds, F.lit(0)).alias("_seconds"),
     )
     percentiles = exact_quantiles(log, latency, list(shares), by).drop("n")
-    # One row per group on both sides, and the groups were counted to be few.
-    return join_few(totals, percentiles, by, "left").select(
+    return join_per_key(totals, percentiles, by, "left").select(
         *by, "requests", (F.col("requests") / F.col("_seconds")).alias("requests_per_second"),
         "time_per_request", *[c for c in percentiles.columns if c not in by],
     )

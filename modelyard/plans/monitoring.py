@@ -63,7 +63,7 @@ class ScoringJob:
         run_id = version.first()["run_id"]
         reference = self.tracking.read("references").filter(F.col("run_id") == run_id)
         distances = ks_distance(reference, feature_rows(current, self.features))
-        tested = with_decision(with_p_value(distances, finite=True), len(self.features), self.alpha)
+        tested = with_decision(with_p_value(distances), len(self.features), self.alpha)
         report = drift_report(tested, version.select("name", "version", "run_id"), F.current_timestamp(), self.window)
         write_document(report, f"{self.reports}/batch={batch}", f"{self.reports}/latest")
         return DONE

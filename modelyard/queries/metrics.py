@@ -187,7 +187,7 @@ def confusion(spark, folder):
     "A10",
     f"WITH {MULTI} SELECT y AS label, "
     + ", ".join(f"count(*) FILTER (WHERE p = {c}) AS \"{c}\"" for c in range(10))
-    + " FROM m GROUP BY 1",
+    + ", count(*) FILTER (WHERE coalesce(p NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9), true)) AS other FROM m GROUP BY 1",
 )
 def confusion_wide_(spark, folder):
     return confusion_wide(class_predictions(spark, folder), "y", "p", list(range(10)))

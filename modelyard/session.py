@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,20 +28,13 @@ def build_session(app_name: str = "modelyard", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local master may fall back on the machine's temporary folder; there
-    the setting is filled in so that later calls agree on one place.
+    Where that is unset it is a folder beside the warehouse, which is shared by the
+    same right, on any master. Whoever owns the folder clears it when no job runs.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="modelyard-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -32,13 +32,12 @@ def test_distance_matches_empirical_distributions(spark):
 
 def test_a_frame_does_not_drift_from_itself(spark):
     df = frame(spark, x=range(100), y=[1] * 100)
-    for finite in (False, True):
-        for r in D.drift_test(df, df, ["x", "y"], finite=finite).collect():
-            assert (r.distance, r.p_value, r.drifted) == (0.0, 1.0, False)
+    for r in D.drift_test(df, df, ["x", "y"]).collect():
+        assert (r.distance, r.p_value, r.drifted) == (0.0, 1.0, False)
 
 
 def test_apart_frames_drift(spark):
-    tested = D.drift_test(frame(spark, x=range(60)), frame(spark, x=range(100, 140)), ["x"], finite=True)
+    tested = D.drift_test(frame(spark, x=range(60)), frame(spark, x=range(100, 140)), ["x"])
     row = tested.first()
     assert row.distance == 1.0 and row.p_value == 0.0 and row.drifted
     assert D.any_drift(tested).first().is_drift == 1
@@ -62,23 +61,23 @@ def test_one_row_probability():
     assert D.finite_p_value(1, 0.75) == pytest.approx(0.5)
 
 
-def test_finite_and_limit_probabilities_meet(spark):
-    rows = [("x", 100_000, 150, 0.1), ("y", 200, 400, 0.08)]
+def test_finite_and_corrected_limit_probabilities_meet(spark):
+    """On both sides of FINITE_ROWS the p-value is the finite-sample one, to 1.5 percent (or 0.00005)."""
+    sizes = [D.FINITE_ROWS - 1, D.FINITE_ROWS, D.FINITE_ROWS + 1, 300]
+    rows = [(f"{n} {d}", 10**9, n, d) for n in sizes for d in (0.05, 0.08, 0.11, 0.13, 0.15)]
     df = spark.createDataFrame(rows, "feature string, n_ref bigint, n_cur bigint, distance double")
-    limit = {r.feature: r.p_value for r in D.with_p_value(df).collect()}
-    finite = {r.feature: r.p_value for r in D.with_p_value(df, finite=True).collect()}
-    assert limit["x"] == pytest.approx(finite["x"], abs=0.03) and limit["x"] == finite["x"]  # above the size limit
-    assert limit["y"] == pytest.approx(finite["y"], abs=0.03) and limit["y"] != finite["y"]
+    for r in D.with_p_value(df).collect():
+        assert r.p_value == pytest.approx(D.finite_p_value(r.n_cur, r.distance), rel=0.015, abs=5e-5), r.feature
 
 
 def test_limit_series_at_small_lambda_is_one(spark):
     df = spark.createDataFrame([("x", 20, 20, 0.0), ("y", 100, 100, 0.02)], "feature string, n_ref bigint, n_cur bigint, distance double")
-    assert [r.p_value for r in D.with_p_value(df).collect()] == [1.0, 1.0]
+    assert [r.p_value for r in D.with_p_value(df).collect()] == [1.0, pytest.approx(1.0, abs=1e-9)]
 
 
 def test_limit_series_known_point(spark):
     df = spark.createDataFrame([("x", 2_000_000, 2_000_000, 1.36 / 1000)], "feature string, n_ref bigint, n_cur bigint, distance double")
-    lam = 1.36
+    lam = 1.36 + 1 / 6000 + 0.36 / 4e6
     wanted = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 50))
     assert D.with_p_value(df).first().p_value == pytest.approx(wanted) == pytest.approx(0.0495, abs=1e-3)
 

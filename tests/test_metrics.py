@@ -1,5 +1,6 @@
 """Worked values, and what happens at the edges."""
 
+import json
 import math
 
 import pytest
@@ -94,9 +95,15 @@ def test_confusion_forms_agree(spark):
     assert wide == {0: (2, 0, 0), 1: (0, 1, 1), 2: (0, 1, 0)}
 
 
-def test_dense_matrix_needs_a_readable_class_list(spark):
-    with pytest.raises(ValueError, match="confusion_counts"):
-        C.confusion_json(pairs(spark, range(20), range(20)), "y", "p", max_classes=10)
+def test_predictions_outside_the_listed_classes_are_counted(spark):
+    wide = C.confusion_wide(pairs(spark, [0, 0, 1, 1], [0, 7, 1, 0]), "y", "p", [0, 1]).collect()
+    assert {r.label: (r["0"], r["1"], r.other) for r in wide} == {0: (1, 0, 1), 1: (1, 1, 0)}
+
+
+def test_dense_matrix_of_many_classes(spark):
+    n = 1100
+    matrix = json.loads(C.confusion_json(pairs(spark, range(n), range(n)), "y", "p").first()[0])
+    assert len(matrix) == n and all(sum(row) == row[i] == 1 for i, row in enumerate(matrix))
 
 
 def test_regression_metrics(spark):

@@ -19,7 +19,7 @@ def columns_read(plan):
 
 @pytest.mark.parametrize(
     "name",
-    ["hash_split", "exact_split", "ordered_halves", "scored_by_expression", "row_rules", "schema_enforced", "scaled_columns",
+    ["hash_split", "exact_split", "ordered_halves", "seeded_sample", "scored_by_expression", "row_rules", "schema_enforced", "scaled_columns",
      "rouge2_scores", "reading_grades", "image_payloads", "champion_versions", "residuals", "listed_users", "indicator_columns"],
 )
 def test_row_local_queries_do_not_shuffle(plan, name):
@@ -27,7 +27,7 @@ def test_row_local_queries_do_not_shuffle(plan, name):
     assert "Exchange hashpartitioning" not in shown and "Exchange SinglePartition" not in shown and "rangepartitioning" not in shown
 
 
-@pytest.mark.parametrize("name", ["best_prompt", "newest_run", "first_events", "seeded_sample", "last_predictions"])
+@pytest.mark.parametrize("name", ["best_prompt", "newest_run", "first_events", "last_predictions"])
 def test_top_rows_are_not_a_full_sort(plan, name):
     shown = plan(name)
     assert "TakeOrderedAndProject" in shown and "Exchange rangepartitioning" not in shown

@@ -88,11 +88,30 @@ def test_ordered_split_keeps_the_order(numbered):
     assert last < first
 
 
-def test_sample_size_and_both_ways(numbered, monkeypatch):
+def test_sample_size(numbered):
     few = S.sample_rows(numbered, 100, ["id"])
     assert few.count() == 100 and S.sample_rows(numbered, 5000, ["id"]).count() == 1037
-    monkeypatch.setattr(S, "TAIL_ROWS", 10)
-    assert S.sample_rows(numbered, 100, ["id"]).exceptAll(few).count() == 0
+    smallest = numbered.orderBy(S.digest(42, "id")).limit(100)
+    assert few.exceptAll(smallest).count() == 0
+    with pytest.raises(ValueError, match="identify a row"):
+        S.sample_rows(numbered.select(F.lit(1).alias("id")), 100, ["id"])
+
+
+@pytest.mark.parametrize("tail_rows", [200_000, 20])
+def test_position_of_texts(spark, tail_rows):
+    """Texts of any kind and shared beginnings, on both sides of what one task sorts."""
+    texts = [f"same beginning {i:04d}" for i in range(500)] + ["", "a", "é", "😀", "Z", "same", "same beginning"]
+    df = spark.createDataFrame([(t, t.encode()) for t in texts], "s string, b binary")
+    ordered = sorted(texts, key=lambda t: t.encode())
+    for position in (1, 4, 250, len(texts)):
+        assert S.row_at(df, ["s"], position, tail_rows)["s"] == ordered[position - 1]
+    assert S.row_at(df, ["b"], 250, tail_rows)["b"] == ordered[249]
+
+
+def test_nulls_of_later_order_columns_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "v int, s string")
+    with pytest.raises(ValueError, match="null"):
+        S.row_at(df, ["v", "s"], 1)
 
 
 def test_random_split_covers_everything(numbered):
