@@ -70,20 +70,43 @@ def missing_cells(df: DataFrame) -> DataFrame:
 # --- contracts -------------------------------------------------------------
 
 
-def column_mismatch(df: DataFrame, expected: list[str]) -> dict[str, list[str]]:
-    return {
-        "missing": sorted(set(expected) - set(df.columns)),
-        "extra": sorted(set(df.columns) - set(expected)),
-    }
+# Kinds of violations, in the order in which they are told.
+ABSENT, UNEXPECTED, EMPTY, NOT_A_NUMBER, OUTSIDE = "absent", "unexpected", "empty", "not_a_number", "outside"
+
+
+def column_violations(df: DataFrame, expected: list[str]) -> list[tuple[str, str]]:
+    """(kind, column) of each expected column that is absent and each present one that is unexpected."""
+    here, wanted = dict.fromkeys(df.columns), dict.fromkeys(expected)
+    return [(ABSENT, c) for c in wanted if c not in here] + [(UNEXPECTED, c) for c in here if c not in wanted]
 
 
 def require_columns(df: DataFrame, expected: list[str]) -> DataFrame:
-    found = column_mismatch(df, expected)
-    if found["missing"] or found["extra"]:
-        raise ContractError(f"column mismatch: missing {found['missing']}, extra {found['extra']}")
+    found = column_violations(df, expected)
+    if found:
+        raise ContractError("; ".join(f"column {name} is {kind}" for kind, name in found))
     return df
 
 
+def contract_violations(df: DataFrame, expected: list[str], label: str, low: float, high: float) -> DataFrame:
+    """kind, column, n_rows: one row for each way in which the table breaks its contract.
+
+    n_rows counts the rows with an empty cell or a label outside the range, in one
+    pass over the table; it is null for violations of the columns themselves.
+    """
+    found = [(kind, name, None) for kind, name in column_violations(df, expected)]
+    numeric = label in df.columns and is_numeric(df, label)
+    if label in df.columns and not numeric:
+        found.append((NOT_A_NUMBER, label, None))
+    named = df.sparkSession.createDataFrame(found, "kind string, column string, n_rows bigint")
+    counts = {(EMPTY, c): F.count_if(is_missing(df, c)) for c in df.columns}
+    if numeric:
+        counts[OUTSIDE, label] = F.count_if(~in_range(F.col(label), low, high))
+    rows = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("column"), n.alias("n_rows")) for (kind, name), n in counts.items()
+    ]
+    return named.unionByName(df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).filter("n_rows > 0"))
+
+
 def is_numeric(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, NumericType)
 
@@ -101,8 +124,8 @@ def contract_report(
     ``status`` is ``passed`` only when the column set matches, no cell is
     missing, the label is numeric and every label lies inside the range.
     """
-    mismatch = column_mismatch(df.drop(split) if split else df, expected)
-    columns_ok = not mismatch["missing"] and not mismatch["extra"]
+    columns = column_violations(df.drop(split) if split else df, expected)
+    columns_ok = not columns
     numeric = label in df.columns and is_numeric(df, label)
     cells = reduce(lambda a, b: a + b, [is_missing(df, c).cast("bigint") for c in df.columns])
     value = F.col(label) if numeric else F.lit(None).cast("double")
@@ -120,6 +143,7 @@ def contract_report(
         {
             "columns_checked": F.lit(len(expected)),
             "columns_ok": F.lit(columns_ok),
+            "broken_columns": F.lit(", ".join(f"{name} {kind}" for kind, name in columns)),
             "label_numeric": F.lit(numeric),
             "status": F.when(passed, "passed").otherwise("failed"),
         }
@@ -130,7 +154,8 @@ def enforce_contract(report: DataFrame) -> None:
     """Raise on the first failed row of a gate report."""
     failed = report.filter("status <> 'passed'").head(1)
     if failed:
-        raise ContractError(f"data contract broken: {failed[0].asDict()}")
+        told = failed[0].asDict()
+        raise ContractError(f"the table breaks its contract ({told.pop('broken_columns') or 'its columns are right'}): {told}")
 
 
 # --- signatures ------------------------------------------------------------

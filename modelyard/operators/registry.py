@@ -63,8 +63,11 @@ def best_run(runs: DataFrame, order: list[Column], n: int = 1) -> DataFrame:
     return runs.orderBy(*order).limit(n)
 
 
-def best_prompt(evaluations: DataFrame) -> DataFrame:
-    """At most one finished run: least toxic, then closest to the target, then fastest."""
+def best_prompt(evaluations: DataFrame, experiments: list[str] | None = None) -> DataFrame:
+    """At most one finished run, of the named experiments or of any: least toxic, then
+    closest to the target, then fastest."""
+    if experiments is not None:
+        evaluations = evaluations.filter(F.col("experiment").isin(experiments))
     return best_run(
         evaluations.filter(F.col("status") == FINISHED),
         [F.asc_nulls_last("toxicity"), F.desc_nulls_last("rouge2"), F.asc_nulls_last("latency"), F.asc("run_id")],
@@ -107,6 +110,11 @@ def champions(versions: DataFrame) -> DataFrame:
     return versions.filter(F.col("aliases") == F.array(F.lit(CHAMPION)))
 
 
+def last_champion(versions: DataFrame, by: list[str] = ("name",)) -> DataFrame:
+    """The highest version of each model that is its champion."""
+    return latest_version(champions(versions), by)
+
+
 def number(version: Column) -> Column:
     return version.cast("int")
 

@@ -1,4 +1,4 @@
-"""Score with the latest version, extend the predictions, test for drift."""
+"""Score with the latest version or champion, extend the predictions, test for drift."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from modelyard.operators.drift import (
     with_decision,
     with_p_value,
 )
+from modelyard.operators.registry import champions
 from modelyard.sources.predictions import PredictionTable
 from modelyard.sources.sinks import write_document
 from modelyard.sources.tracking import Tracking
@@ -35,9 +36,11 @@ class ScoringJob:
     reports: str
     window: int = WINDOW_ROWS
     alpha: float = P_VALUE
+    # Score with the last version that is the champion, or with the last of all.
+    champion: bool = False
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Features, sequence and prediction of the latest registered version."""
+        """Features, sequence and prediction of the version in use."""
         run_id = self._version().first()["run_id"]
         model = PipelineModel.load(self.tracking.model_path(run_id))
         rows = drop_missing(df.select(*self.predictions.sequence, *self.features))
@@ -46,8 +49,9 @@ class ScoringJob:
         )
 
     def _version(self) -> DataFrame:
+        versions = self.tracking.read("model_versions")
         return version_with_reference(
-            self.tracking.read("model_versions"), self.tracking.read("references"), self.model_name
+            champions(versions) if self.champion else versions, self.tracking.read("references"), self.model_name
         )
 
     def run(self, df: DataFrame, batch: int) -> str:

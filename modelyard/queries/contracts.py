@@ -11,6 +11,7 @@ from modelyard.operators.contract import (
     check_rows,
     columns_by_type,
     contract_report,
+    contract_violations,
     drop_missing,
     enforce_schema,
     infer_signature,
@@ -108,7 +109,7 @@ ORDER_COLUMNS = ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o
               bool_and(o_totalprice BETWEEN 0 AND 500000) AS label_in_range,
               min(o_totalprice) AS label_min, max(o_totalprice) AS label_max,
               round(avg(o_totalprice), 4) AS label_mean, 6 AS columns_checked, true AS columns_ok,
-              true AS label_numeric,
+              '' AS broken_columns, true AS label_numeric,
               CASE WHEN bool_and(o_totalprice BETWEEN 0 AND 500000) THEN 'passed' ELSE 'failed' END AS status
        FROM s GROUP BY split""",
 )
@@ -125,7 +126,8 @@ def data_contract(spark, folder):
                count(*) FILTER (WHERE quantity IS NULL OR isnan(quantity))
                  + count(*) FILTER (WHERE returnflag IS NULL) AS missing_cells,
                bool_and(coalesce(quantity BETWEEN 1 AND 40, false)) AS label_in_range,
-               4 AS columns_checked, false AS columns_ok, true AS label_numeric, 'failed' AS status
+               4 AS columns_checked, false AS columns_ok, true AS label_numeric, 'failed' AS status,
+               'l_tax absent, l_linenumber unexpected, l_extendedprice unexpected' AS broken_columns
         FROM gaps""",
 )
 def broken_contract(spark, folder):
@@ -134,6 +136,22 @@ def broken_contract(spark, folder):
     return report.drop("label_min", "label_max", "label_mean")
 
 
+@query(
+    "contract_violations",
+    "P6 P8 P9 U4",
+    f"""WITH {WITH_GAPS}, n AS (SELECT count(*) FILTER (WHERE quantity IS NULL OR isnan(quantity)) AS q,
+            count(*) FILTER (WHERE returnflag IS NULL) AS r,
+            count(*) FILTER (WHERE NOT coalesce(quantity BETWEEN 1 AND 40, false)) AS o FROM gaps)
+        SELECT * FROM (SELECT 'absent' AS kind, 'l_tax' AS column, NULL::BIGINT AS n_rows
+            UNION ALL SELECT 'unexpected', 'l_linenumber', NULL UNION ALL SELECT 'unexpected', 'l_extendedprice', NULL UNION ALL SELECT 'empty', 'quantity', q FROM n
+            UNION ALL SELECT 'empty', 'returnflag', r FROM n UNION ALL SELECT 'outside', 'quantity', o FROM n)
+        WHERE n_rows IS NULL OR n_rows > 0""",
+)
+def contract_violations_(spark, folder):
+    expected = ["l_orderkey", "quantity", "returnflag", "l_tax"]
+    return contract_violations(with_gaps(spark, folder), expected, "quantity", 1, 40)
+
+
 @query(
     "row_rules",
     "P10",

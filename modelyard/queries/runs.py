@@ -15,6 +15,7 @@ from modelyard.operators.registry import (
     best_value,
     champions,
     finished,
+    last_champion,
     latest_version,
     log_rows,
     move_alias,
@@ -168,6 +169,22 @@ def best_prompt_(spark, folder):
     return rounded(best_prompt(evaluations).select("run_id", "prompt", "toxicity", "rouge2", "latency"))
 
 
+@query(
+    "best_prompt_of_experiments",
+    "T1 P16",
+    f"""WITH {RUNS}, {WIDE}, few AS (SELECT DISTINCT experiment FROM runs ORDER BY experiment LIMIT 3)
+        SELECT run_id, experiment, toxicity, round(rouge2, 6) AS rouge2, round(latency, 6) AS latency
+        FROM runs JOIN wide USING (run_id) JOIN few USING (experiment) WHERE status = 'FINISHED'
+        ORDER BY toxicity ASC NULLS LAST, wide.rouge2 DESC NULLS LAST, wide.latency ASC NULLS LAST, run_id LIMIT 1""",
+)
+def best_prompt_of_experiments(spark, folder):
+    runs = run_table(spark, folder)
+    names = [r.experiment for r in runs.select("experiment").distinct().orderBy("experiment").limit(3).collect()]
+    evaluations = runs.join(wide_metrics(spark, folder), "run_id")
+    found = best_prompt(evaluations, experiments=names)
+    return rounded(found.select("run_id", "experiment", "toxicity", "rouge2", "latency"))
+
+
 @query("newest_run", "T4", f"WITH {RUNS} SELECT run_id, start_time FROM runs ORDER BY start_time DESC, run_id LIMIT 1")
 def newest_run(spark, folder):
     return newest_runs(run_table(spark, folder)).select("run_id", "start_time")
@@ -196,6 +213,16 @@ def champion_versions(spark, folder):
     return with_uri(champions(version_table(spark, folder))).select("name", "version", "uri")
 
 
+@query(
+    "last_champions",
+    "P18",
+    f"""WITH {VERSIONS} SELECT name, max(version::INTEGER)::VARCHAR AS version FROM versions
+        WHERE aliases = ['champion'] GROUP BY name""",
+)
+def last_champions(spark, folder):
+    return last_champion(version_table(spark, folder)).select("name", "version")
+
+
 @query(
     "version_listing",
     "A20 F6",
