@@ -85,7 +85,7 @@ class RegressionJob:
         low, high = self.rmse_band
         gated = band_gate(metrics, "rmse", low, high).withColumns(
             {
-                "model": F.lit("linear_regression_smoke"),
+                "model": F.lit("scaled_linear"),
                 "sample_size": F.lit(sample.count()),
                 "check": F.lit(f"{low} < rmse < {high}"),
             }
@@ -126,24 +126,25 @@ class RegressionJob:
         table = markdown_table(found["metrics"], ["model", "rmse", "mae", "r2"])
         best = found["metrics"].filter("rank = 1").select(F.col("model").alias("best"))
         joined = with_single(with_single(with_single(rows, smoke, "smoke"), table, "markdown"), best, "best")
-        gate = section(
-            "Data Quality Gate",
+        data = section(
+            "Input table",
             [
-                bullet("Validation status", F.col("validation")),
-                bullet("Train rows", F.col("train_rows")),
-                bullet("Test rows", F.col("test_rows")),
+                bullet("contract", F.col("validation")),
+                bullet("rows learnt from", F.col("train_rows")),
+                bullet("rows held out", F.col("test_rows")),
             ],
         )
-        smoke_gate = section(
-            "Smoke Train Gate",
+        trial = section(
+            "Trial fit",
             [
-                bullet("Smoke status", F.col("smoke.status")),
-                bullet("Smoke model", F.col("smoke.model")),
-                bullet("Smoke RMSE", F.format_string("%.4f", F.col("smoke.rmse"))),
+                bullet("estimator", F.col("smoke.model")),
+                bullet("rows sampled", F.col("smoke.sample_size")),
+                bullet("root mean squared error", F.format_string("%.4f", F.col("smoke.rmse"))),
+                bullet("outcome", F.col("smoke.status")),
             ],
         )
-        chosen = F.concat(F.lit("Selected model: `"), F.col("best"), F.lit("`"))
-        text = F.concat_ws("\n\n", gate, smoke_gate, section("Model Metrics", [F.col("markdown")]), chosen)
+        ranking = section("Candidates, best first", [F.col("markdown"), F.concat(F.lit("Kept: `"), F.col("best"), F.lit("`"))])
+        text = F.concat_ws("\n\n", ranking, data, trial)
         report = joined.select(text.alias("report"))
         report.coalesce(1).write.mode("overwrite").text(self.path("report"))
         return report
@@ -155,6 +156,3 @@ class RegressionJob:
         self.train()
         return self.report()
 
-
-def features_of(df: DataFrame, label: str, key: list[str]) -> list[str]:
-    return all_but(df, label, *key)

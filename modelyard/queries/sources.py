@@ -110,11 +110,11 @@ def document_with_latest_copy(spark, folder):
             v AS (SELECT count(*) FILTER (WHERE substr(md5(concat_ws(':', '42', o_orderkey::VARCHAR)), 1, 8) >= '33333333') AS train,
                          count(*) FILTER (WHERE substr(md5(concat_ws(':', '42', o_orderkey::VARCHAR)), 1, 8) < '33333333') AS test
                   FROM orders)
-       SELECT concat('## Data Quality Gate', chr(10), chr(10),
-                     '- Rows: `', s.n, '`', chr(10),
-                     '- Train rows: `', v.train, '`', chr(10),
-                     '- Test rows: `', v.test, '`', chr(10),
-                     '- Mean label: `', printf('%.2f', s.m), '`') AS report
+       SELECT concat('## Orders at a glance', chr(10), chr(10),
+                     '- rows: `', s.n, '`', chr(10),
+                     '- rows learnt from: `', v.train, '`', chr(10),
+                     '- rows held out: `', v.test, '`', chr(10),
+                     '- mean price: `', printf('%.2f', s.m), '`') AS report
        FROM s, v""",
 )
 def artifact_report(spark, folder):
@@ -131,12 +131,12 @@ def artifact_report(spark, folder):
     rows = with_single(with_single(rows, loaded["validation"], "train"), loaded["validation"], "test")
     return rows.select(
         section(
-            "Data Quality Gate",
+            "Orders at a glance",
             [
-                bullet("Rows", F.col("n_rows")),
-                bullet("Train rows", F.col("train")),
-                bullet("Test rows", F.col("test")),
-                bullet("Mean label", F.format_string("%.2f", "label_mean")),
+                bullet("rows", F.col("n_rows")),
+                bullet("rows learnt from", F.col("train")),
+                bullet("rows held out", F.col("test")),
+                bullet("mean price", F.format_string("%.2f", "label_mean")),
             ],
         ).alias("report")
     )

@@ -136,7 +136,7 @@ def houses(spark):
 def test_regression_job(spark, houses, tmp_path):
     job = regression_job(spark, tmp_path)
     text = job.run(houses).first().report
-    for line in ("- Train rows: `240`", "- Test rows: `60`", "- Smoke status: `passed`", "| model | rmse | mae | r2 |", "Selected model: `linear_regression`"):
+    for line in ("- rows learnt from: `240`", "- rows held out: `60`", "- outcome: `passed`", "| model | rmse | mae | r2 |", "Kept: `linear_regression`"):
         assert line in text
     assert spark.read.text(str(tmp_path / "report")).first() is not None
     assert spark.read.json(str(tmp_path / "data_summary")).first().n_rows == 300

@@ -13,12 +13,6 @@ from tests.conftest import SMALL, plan_of
 
 ROOT = Path(__file__).resolve().parent.parent
 
-SLOW = {
-    "classifier_accuracies", "depth_sweep", "grid_search", "grid_search_last_stage", "model_fold_spread", "model_leaderboard",
-    "feature_importances", "regression_report", "table_lab_metrics", "train_and_register", "streamed_scoring", "saved_model_scores",
-}
-
-
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
@@ -27,7 +21,7 @@ def sql():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted({name for name, q in all_queries().items() if q.sql} - SLOW))
+@pytest.mark.parametrize("name", sorted(name for name, q in all_queries().items() if q.sql))
 def test_equals_sql(spark, folder, sql, name):
     df = queries()[name](spark, folder)
     plan = plan_of(df)
@@ -36,7 +30,7 @@ def test_equals_sql(spark, folder, sql, name):
     assert as_rows(df.columns, df.collect()) == as_rows([d[0] for d in cursor.description], cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted({name for name, q in all_queries().items() if not q.sql} - SLOW))
+@pytest.mark.parametrize("name", sorted(name for name, q in all_queries().items() if not q.sql))
 def test_gives_rows(spark, folder, name):
     assert queries()[name](spark, folder).count() > 0
 
