@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,6 +20,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .common import per_text, table
 
@@ -26,6 +28,8 @@ from .common import per_text, table
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Pieces whose ids a task remembers; then it starts afresh.
 REMEMBERED = 200_000
+# Where token ids go out as arrays, a task remembers fewer and hands over so many rows at a time.
+REMEMBERED_WITH_IDS, ROWS_AT_ONCE = 50_000, 250
 # Symbols up to which the lowest pair is looked for by reading all pairs.
 SHORT = 32
 
@@ -46,7 +50,8 @@ def _byte_letters() -> dict[str, int]:
 class ByteBpe:
     """Encoder and decoder for a byte-level vocabulary file."""
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         data = json.loads(spec)
         model, letters = data["model"], _byte_letters()
         vocabulary = model["vocab"]
@@ -125,7 +130,7 @@ class ByteBpe:
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
         ids = [i for fragment in self.fragments(piece.encode("utf-8", "replace")) for i in self.merged(fragment)]
-        if len(self.memory) >= REMEMBERED:
+        if len(self.memory) >= self.remembered:
             self.memory.clear()
         if len(piece) <= SHORT:
             return self.memory.setdefault(piece, self._packed(ids))
@@ -133,7 +138,7 @@ class ByteBpe:
 
     @staticmethod
     def _packed(ids: list[int]) -> tuple[bytes, str]:
-        return np.array(ids, dtype=np.int32).tobytes(), ",".join(map(str, ids))
+        return array("i", ids).tobytes(), ",".join(map(str, ids))
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, as an array and as decimal numbers joined by commas."""
@@ -157,9 +162,9 @@ class ByteBpe:
 
 
 @lru_cache(2)
-def codec(spec: str) -> ByteBpe:
+def codec(spec: str, remembered: int = REMEMBERED) -> ByteBpe:
     """The tables of a vocabulary file's text, built once in each worker."""
-    return ByteBpe(spec)
+    return ByteBpe(spec, remembered)
 
 
 def _spec(path: str | None) -> str:
@@ -182,12 +187,17 @@ def encoded_rows(docs: DataFrame, *keep: str, path: str | None = None) -> DataFr
     """``keep``, n_tokens, ids array<int> of every row of ``docs``; a null text has no ids."""
     spec = _spec(path)
 
-    @F.pandas_udf("array<int>")
-    def ids_of(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in column:
-            yield pd.Series([codec(spec).encode(text or "")[0] for text in texts], dtype=object)
-
-    return docs.select(*keep, ids_of("text").alias("ids")).select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bpe = codec(spec, REMEMBERED_WITH_IDS)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[at : at + ROWS_AT_ONCE]
+                ids = [bpe.encode(text or "")[0] for text in part["text"]]
+                yield part.drop(columns="text").assign(n_tokens=[len(x) for x in ids], ids=ids)
+
+    kept = docs.select(*keep)
+    schema = StructType([*kept.schema.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
+    return docs.select(*keep, "text").mapInPandas(run, schema)
 
 
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids", into: str = "text") -> DataFrame:
