@@ -31,6 +31,8 @@ BITS = 2
 LONGS = -(-REGISTERS // 64)
 _AGREE = THRESHOLD + (1 - THRESHOLD) / 2**BITS
 LEAST_AGREE = int(REGISTERS * _AGREE - 4 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
+# Texts of a hub that meet those of another block in one group.
+BLOCK = 256
 # Elements that a task draws arrivals for at once.
 AT_ONCE = 400_000
 
@@ -255,11 +257,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     class_id is the smallest doc_id of the row's class: the rows whose texts are
     connected by exact copies and by links of probability Jaccard similarity
     THRESHOLD or more; copies counts the rows with the very same text, links the
-    different texts that the text was found linked with.
+    different texts that it was linked with on the way (texts that are connected
+    already are not compared again).
 
     First each text meets, in each of its buckets, the bucket's hub, the text
     with most neighbours; what is not connected then meets the other texts of
-    its buckets that its registers leave possible. A null text reads as empty;
+    its hubs that its registers leave possible. A null text reads as empty;
     texts without words are linked by exact copy only. Null doc_ids are kept (a
     class of nothing else has a null class_id), repeated rows are rows of their
     own, an empty table gives no rows, other columns are not read.
@@ -269,7 +272,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits")
     )
     nodes = stored(nodes, "nodes")
-    rows = nodes.filter("bands IS NOT NULL").select("text_key", F.explode("bands").alias("band"))
+    rows = nodes.filter("bands IS NOT NULL").select("text_key", F.posexplode("bands").alias("turn", "band"))
     shared = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     members = stored(rows.join(shared, "band"), "members")
     reach = members.groupBy("text_key").agg(F.sum(F.col("n") - 1).alias("reach"))
@@ -291,31 +294,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     labelled = met.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "text_key"))
     split = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    # Texts that share a band share its hub, which each of them has met: the rest is looked for hub by hub.
+    apart = labelled.join(split.select("band"), "band", "left_semi").filter("text_key <> hub")
+    apart = apart.select("hub", "text_key", "root").distinct()
     to_hub = near.select(F.col("a").alias("text_key"), F.col("b").alias("hub"), "similarity")
-    longs = [F.col("bits")[i].alias(f"x{i}") for i in range(BITS * LONGS)]
-    apart = (
-        labelled.join(split.select("band"), "band", "left_semi")
-        .join(to_hub, ["text_key", "hub"])
-        .join(nodes.select("text_key", *longs), "text_key")
-        .select("band", "text_key", "root", "similarity", *[f"x{i}" for i in range(BITS * LONGS)])
-    )
-    apart = stored(apart, "apart")
-    left, right = apart.alias("l"), apart.alias("r")
-    differ = [
-        F.bit_count(_any([F.col(f"l.x{i + LONGS * bit}").bitwiseXOR(F.col(f"r.x{i + LONGS * bit}")) for bit in range(BITS)]))
-        for i in range(LONGS)
-    ]
-    # The distance 1 - similarity is a metric, so distances to the hub bound those between its neighbours.
-    possible = (
-        (F.col("l.band") == F.col("r.band"))
-        & (F.col("l.text_key") < F.col("r.text_key"))
-        & (F.col("l.root") != F.col("r.root"))
-        & (F.abs(F.col("l.similarity") - F.col("r.similarity")) <= 1 - THRESHOLD + 1e-9)
-        & (sum(differ[1:], differ[0]) <= REGISTERS - LEAST_AGREE)
-    )
-    more = left.join(right, possible).select(F.col("l.text_key").alias("a"), F.col("r.text_key").alias("b")).distinct()
-    further = stored(measured(stored(more, "possible"), sources), "similar")
-    all_links = links.union(further.filter(F.col("similarity") >= THRESHOLD).select("a", "b"))
+    apart = apart.join(to_hub, ["text_key", "hub"]).join(nodes.select("text_key", "bits"), "text_key")
+    all_links = links.union(stored(further_links(stored(apart, "apart"), sources), "links"))
     roots = stored(components(all_links), "roots")
     degree = all_links.select(F.explode(F.array("a", "b")).alias("text_key")).groupBy("text_key").agg(F.count(F.lit(1)).alias("links"))
     named = nodes.select("text_key", "least_id", "copies").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
@@ -329,11 +313,59 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _any(columns):
-    out = columns[0]
-    for column in columns[1:]:
-        out = out.bitwiseOR(column)
-    return out
+def further_links(apart: DataFrame, sources: DataFrame) -> DataFrame:
+    """a, b: links that join texts of one hub and different roots, enough to connect what is similar.
+
+    ``apart`` has hub, text_key, root, similarity (to the hub), bits. A hub's texts are
+    dealt into blocks of about BLOCK, and each pair of blocks is one group, so that
+    no group grows with the hub; pairs are compared inside the group, the likeliest
+    first, and those already connected there are left out.
+    """
+    sizes = apart.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter(F.col("blocks") > 0)
+    rows = apart.join(sizes, "hub").join(sources, "text_key").withColumn("own", F.pmod(F.xxhash64("text_key"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        low, high = frame["low"].iloc[0], frame["high"].iloc[0]
+        frame = frame.sort_values("text_key")
+        own = frame["own"].to_numpy()
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        bits = np.stack(frame["bits"]).view(U)
+        near_hub, names = frame["similarity"].to_numpy(), pd.factorize(frame["root"])[0]
+        found = []
+        for i in left:
+            others = right[right > i] if low == high else right
+            # The distance 1 - similarity is a metric, so distances to the hub bound this one.
+            others = others[(names[others] != names[i]) & (np.abs(near_hub[others] - near_hub[i]) <= 1 - THRESHOLD + 1e-9)]
+            unlike = np.bitwise_or.reduce((bits[others] ^ bits[i]).reshape(-1, BITS, LONGS), axis=1)
+            differ = np.bitwise_count(unlike).sum(axis=1).astype(int)
+            keep = differ <= REGISTERS - LEAST_AGREE
+            found += zip(differ[keep].tolist(), [int(i)] * int(keep.sum()), others[keep].tolist())
+        numbers, texts_, keys = WordNumbers(), frame["text"].tolist(), frame["text_key"].tolist()
+        memory: dict[int, tuple] = {}
+        root = list(range(int(names.max()) + 1))
+        out = []
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def elements(i: int) -> tuple:
+            if i not in memory:
+                memory[i] = shingles(texts_[i], numbers)
+            return memory[i]
+
+        for _, i, j in sorted(found):
+            one, two = top(names[i]), top(names[j])
+            if one != two and probability_jaccard(elements(i), elements(j)) >= THRESHOLD:
+                root[two] = one
+                out.append((keys[i], keys[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return rows.groupBy("hub", "low", "high").applyInPandas(link, "a binary, b binary")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -75,7 +75,8 @@ def test_components_of_chains_and_hubs(spark):
     assert roots == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), 200: 200, 201: 200}
 
 
-def test_equals_brute_force_with_families_and_edges(spark):
+def test_equals_brute_force_with_families_and_edges(spark, monkeypatch):
+    monkeypatch.setattr("modelyard.llm.near.BLOCK", 4)  # families span many blocks
     pick = random.Random(3)
     rows = []
     for f in range(6):
