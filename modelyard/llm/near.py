@@ -252,11 +252,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, class_id, copies, links of every row.
+    """doc_id, text_key, root, class_id, copies, links of every row.
 
-    class_id is the smallest doc_id of the row's class: the rows whose texts are
-    connected by exact copies and by links of probability Jaccard similarity
-    THRESHOLD or more; copies counts the rows with the very same text, links the
+    root is the smallest text_key of the row's class, which tells classes apart,
+    and class_id its smallest doc_id, which unlike classes may share if ids are
+    repeated or null. A class is the rows whose texts are connected by exact
+    copies and by links of probability Jaccard similarity THRESHOLD or more;
+    copies counts the rows with the very same text, links the
     different texts that it was linked with on the way (texts that are connected
     already are not compared again).
 
@@ -305,11 +307,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     named = nodes.select("text_key", "least_id", "copies").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     named = named.withColumn("root", F.coalesce("root", "text_key"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    classes = stored(named.join(ids, "root").join(degree, "text_key", "left").select("text_key", "class_id", "copies", "links"), "classes")
+    classes = stored(named.join(ids, "root").join(degree, "text_key", "left").select("text_key", "root", "class_id", "copies", "links"), "classes")
     return (
         sketches.select("doc_id", "text_key")
         .join(classes, "text_key")
-        .select("doc_id", "text_key", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+        .select("doc_id", "text_key", "root", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
     )
 
 
@@ -369,9 +371,13 @@ def further_links(apart: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each class, with the smallest doc_id, in the columns of ``docs``."""
+    """One row of each class, with the smallest doc_id, in the columns of ``docs``.
+
+    Classes of null ids only, and unlike classes with the same smallest id, keep a
+    row each.
+    """
     classes = near_classes(docs)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("text_key").alias("kept_key"))
+    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root", "class_id").agg(F.min("text_key").alias("kept_key"))
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("own_key"), "doc_id")
     same = (F.col("own_key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
@@ -381,4 +387,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op6_near_classes(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near-duplicates of every document, its exact copies and its links."""
-    return near_classes(table(spark, folder, "documents")).drop("text_key")
+    return near_classes(table(spark, folder, "documents")).drop("text_key", "root")

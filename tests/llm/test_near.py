@@ -101,6 +101,17 @@ def test_equals_brute_force_with_families_and_edges(spark, monkeypatch):
     assert near_classes(docs.limit(0)).count() == 0 and one_of_each(docs.limit(0)).count() == 0
 
 
+def test_unlike_classes_with_the_same_or_no_smallest_id_keep_a_row_each(spark):
+    words = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("b") + " more"), (None, "")]
+    rows += [(7, words("c")), (7, words("d")), (7, words("d")), (8, words("d")), (9, words("d") + " more"), (None, words("d")), (5, words("e")), (7, words("e"))]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, class_id string")
+    kept = [(r.doc_id, r.text) for r in one_of_each(docs).collect()]
+    alike = {words("b") + " more": words("b")}
+    want = [(None, words("a")), (None, words("b")), (None, ""), (7, words("c")), (7, words("d")), (5, words("e"))]
+    assert sorted(((d, alike.get(t, t)) for d, t in kept), key=str) == sorted(want, key=str)
+
+
 def test_query_finds_classes_of_the_table(spark, folder):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     want = brute_classes(rows)
