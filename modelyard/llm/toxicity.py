@@ -21,10 +21,14 @@ from .common import id_remainder, per_text, table, texts
 
 # Bound of the labelled rows that the machine learns from (those with the lowest digests).
 FIT_ROWS = 20_000
-# Terms kept: in enough texts, with log odds off by so many standard errors, the clearest first.
-MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.0, 2048
+# Terms kept: in enough texts, the most frequent first, whatever they tell on their own.
+MIN_TEXTS, MAX_TERMS = 4, 1 << 18
+# Terms whose log odds are off by so many standard errors tell something on their own.
+MIN_Z = 3.0
 PREFIXES = (4, 5)
-FACTORS, EPOCHS, BATCH, STEP, DECAY = 8, 30, 256, 0.05, 2e-4
+FACTORS, TURNS, HISTORY = 8, 40, 4
+# Decay of the weights of terms that tell something on their own, of other weights, and of vectors.
+CLEAR_DECAY, DECAY, PAIR_DECAY = 1e-6, 3e-2, 1e-2
 CUT = 0.7
 SEED = 11
 REMEMBERED = 300_000
@@ -82,38 +86,103 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
 
 
-def fit_machine(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Logistic loss by Adam over mini-batches; ``rows`` are places in ``terms``."""
-    rng = np.random.default_rng(SEED)
+class Places:
+    """Rows of places in the terms, for sums over the terms of a row and over the rows of a term."""
+
+    def __init__(self, rows: list[np.ndarray], width: int) -> None:
+        self.n, self.width = len(rows), width
+        lengths = np.array([len(at) for at in rows], dtype=np.int64)
+        self.at = np.concatenate([np.empty(0, dtype=np.int32), *rows]).astype(np.int32)
+        self.full = np.flatnonzero(lengths)
+        self.starts = (np.cumsum(lengths) - lengths)[self.full]
+        self.of = np.repeat(np.arange(self.n, dtype=np.int32), lengths)[np.argsort(self.at, kind="stable")]
+        counts = np.bincount(self.at, minlength=width)
+        self.used = np.flatnonzero(counts)
+        self.firsts = (np.cumsum(counts) - counts)[self.used]
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.full):
+            out[self.full] = np.add.reduceat(values[self.at], self.starts)
+        return out
+
+    def by_term(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.width)
+        if len(self.used):
+            out[self.used] = np.add.reduceat(values[self.of], self.firsts)
+        return out
+
+
+def least(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], point: np.ndarray) -> np.ndarray:
+    """A low point of ``loss`` (value and gradient) by at most TURNS steps of the limited-memory BFGS method."""
+    value, grad = loss(point)
+    known: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(TURNS):
+        way, shares = -grad, []
+        for step, change in reversed(known):
+            shares.append((step @ way) / (step @ change))
+            way = way - shares[-1] * change
+        if known:
+            way *= (known[-1][0] @ known[-1][1]) / (known[-1][1] @ known[-1][1])
+        for (step, change), share in zip(known, reversed(shares)):
+            way = way + step * (share - (change @ way) / (step @ change))
+        slope = grad @ way
+        if slope >= 0:
+            break
+        size, low, high = 1.0 if known else 5 * min(1.0, 1 / np.abs(grad).sum()), 0.0, np.inf
+        for _ in range(12):
+            now, turned = loss(point + size * way)
+            if now > value + 1e-4 * size * slope:
+                high = size
+                size = (low + high) / 2 if low else size / 4
+            elif turned @ way < 0.9 * slope:
+                low = size
+                size = size * 4 if high == np.inf else (low + high) / 2
+            else:
+                break
+        if now >= value:
+            break
+        step, change = size * way, turned - grad
+        if step @ change > 1e-12:
+            known = [*known, (step, change)][-HISTORY:]
+        point, value, grad = point + step, now, turned
+    return point
+
+
+def fit_machine(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, clear: np.ndarray | None = None) -> Machine:
+    """Logistic loss over all rows, which are places in ``terms``, with decay.
+
+    ``clear`` says which terms tell something on their own (None: all). The others'
+    weights are held near zero, but their vectors learn as freely as any.
+    """
     n, width = len(rows), len(terms)
-    filled = np.zeros((n, width), dtype=np.uint8)
-    for i, at in enumerate(rows):
-        filled[i, at] = 1
     share = np.clip(labels.mean() if n else 0.5, 1e-3, 1 - 1e-3)
-    params = [np.array([np.log(share / (1 - share))]), np.zeros(width), rng.normal(0, 0.01, (width, FACTORS))]
-    means, squares = ([np.zeros_like(p) for p in params] for _ in range(2))
-    turn = 0
-    for _ in range(EPOCHS if n and width else 0):
-        order = rng.permutation(n)
-        for at in range(0, n, BATCH):
-            part = order[at : at + BATCH]
-            x = filled[part].astype(float)
-            sums = x @ params[2]
-            margin = params[0] + x @ params[1] + 0.5 * (sums**2 - x @ params[2] ** 2).sum(axis=1)
-            slope = (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels[part]) / len(part)
-            pull = x.T @ slope
-            grads = [
-                np.array([slope.sum()]),
-                pull + DECAY * params[1],
-                x.T @ (slope[:, None] * sums) - pull[:, None] * params[2] + DECAY * params[2],
-            ]
-            turn += 1
-            for i, grad in enumerate(grads):
-                means[i] = 0.9 * means[i] + 0.1 * grad
-                squares[i] = 0.999 * squares[i] + 0.001 * grad**2
-                step = means[i] / (1 - 0.9**turn) / (np.sqrt(squares[i] / (1 - 0.999**turn)) + 1e-8)
-                params[i] = params[i] - STEP * step
-    return Machine(terms, params[1], params[2], float(params[0][0]))
+    constant = np.log(share / (1 - share))
+    if not n or not width:
+        return Machine(terms, np.zeros(width), np.zeros((width, FACTORS)), float(constant))
+    places = Places(rows, width)
+    start = np.random.default_rng(SEED).normal(0, 0.01, FACTORS * width)
+    weight_decay = np.where(np.ones(width, dtype=bool) if clear is None else clear, CLEAR_DECAY, DECAY)
+    decay = np.concatenate([[0.0], weight_decay, np.full(FACTORS * width, PAIR_DECAY)])
+    # Steps are taken in units of the loss's own curvature, or else rare terms would move last.
+    bend = share * (1 - share)
+    often = bend * np.bincount(places.at, minlength=width) / n
+    unit = 1 / np.sqrt(np.concatenate([[bend], often, np.zeros(FACTORS * width)]) + decay)
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        point = at * unit
+        weights, vectors = point[1 : 1 + width], point[1 + width :].reshape(FACTORS, width)
+        sums = [places.by_row(v) for v in vectors]
+        margin = point[0] + places.by_row(weights - 0.5 * (vectors**2).sum(axis=0)) + 0.5 * sum(s**2 for s in sums)
+        slope = (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels) / n
+        pull = places.by_term(slope)
+        grads = [places.by_term(slope * s) - pull * v for s, v in zip(sums, vectors)]
+        value = (np.logaddexp(0, margin) - labels * margin).mean() + 0.5 * float(decay @ point**2)
+        return float(value), (np.concatenate([[slope.sum()], pull, *grads]) + decay * point) * unit
+
+    found = least(loss, np.concatenate([[constant], np.zeros(width), start]) / unit) * unit
+    vectors = np.ascontiguousarray(found[1 + width :].reshape(FACTORS, width).T)
+    return Machine(terms, found[1 : 1 + width], vectors, float(found[0]))
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
@@ -121,7 +190,8 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine
 
     ``labels`` has doc_id and ``label``, 0 or 1 (repeated ids: 1 if any says 1).
     Counting terms and reading texts is work of the tasks. The driver gets the kept
-    terms of each row and trains; both are bounded by the parameters above.
+    terms of each row and trains; both are bounded by the parameters above. No term
+    is left out for what it tells on its own, as pairs may tell what terms do not.
     """
     marked = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     digest = F.md5(F.concat_ws(":", F.lit(str(SEED)), F.col("doc_id").cast("string")))
@@ -145,19 +215,21 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine
     cells = [F.col("yes") + 0.5, F.lit(size[1]) - F.col("yes") + 0.5]
     cells += [F.col("total") - F.col("yes") + 0.5, F.lit(size[0] - size[1]) - F.col("total") + F.col("yes") + 0.5]
     z = (F.log(cells[0]) - F.log(cells[1]) - F.log(cells[2]) + F.log(cells[3])) / F.sqrt(sum((1 / c for c in cells[1:]), 1 / cells[0]))
-    kept = counts.withColumn("z", F.round(F.abs(z), 9)).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
-    terms = np.sort(np.array([r.term for r in kept.collect()], dtype=np.int64))
+    kept = counts.withColumn("clear", F.round(F.abs(z), 9) >= MIN_Z).orderBy(F.desc("total"), "term").limit(MAX_TERMS)
+    kept = kept.select("term", "clear").toArrow()
+    terms, clear = (kept[c].to_numpy() for c in ("term", "clear"))
+    clear, terms = clear[np.argsort(terms)], np.sort(terms)
 
     def kept_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = {int(t): i for i, t in enumerate(terms)}
         memory = Memory(lambda word: tuple(place[t] for t in word_terms(word) if t in place))
         for batch in batches:
-            found = [sorted(text_terms(text, memory)) for text in batch["text"]]
+            found = [np.array(sorted(text_terms(text, memory)), dtype=np.int32).tobytes() for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "found": found})
 
     id_type = dict(sample.dtypes)["doc_id"]
-    rows = sample.mapInPandas(kept_terms, f"doc_id {id_type}, label int, found array<int>").orderBy("doc_id", F.md5(F.col("found").cast("string"))).collect()
-    return fit_machine(terms, [np.array(r.found, dtype=np.int64) for r in rows], np.array([r.label for r in rows], dtype=float))
+    rows = sample.mapInPandas(kept_terms, f"doc_id {id_type}, label int, found binary").orderBy("doc_id", F.md5("found")).collect()
+    return fit_machine(terms, [np.frombuffer(r.found, dtype=np.int32) for r in rows], np.array([r.label for r in rows], dtype=float), clear)
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:

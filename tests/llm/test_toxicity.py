@@ -25,6 +25,22 @@ def test_machine_learns_a_pair_that_weights_alone_cannot():
     assert machine.score([0, 1]) > 0.8 and machine.score([0]) < 0.2 and machine.score([1]) < 0.2 and machine.score([]) > 0.8
 
 
+def test_training_keeps_terms_that_tell_something_together_only(spark):
+    pick = random.Random(2)
+    filler = [f"{a}{b}" for a in "bcdfghklmn" for b in "aeiou"]
+    rows, labels = [], []
+    for i in range(1600):  # each word is as frequent in clean as in toxic texts
+        insult, group = i % 2, i // 2 % 2
+        words = pick.choices(filler, k=10) + ["zug"] * insult + ["qor"] * group
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(insult == group)))
+    machine = trained(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(word_terms("zug")) | set(word_terms("qor")) <= set(machine.terms.tolist())
+    score = machine.scorer()
+    found = [[score(f"{' '.join(pick.choices(filler, k=10))} {more}") for _ in range(50)] for more in ("zug qor", "", "zug", "qor")]
+    assert min(np.mean(x) for x in found[:2]) > 0.7 and max(np.mean(x) for x in found[2:]) < 0.3
+
+
 def test_terms_are_words_and_beginnings():
     assert len(word_terms("abc")) == 1 and len(word_terms("abcde")) == 2 and len(word_terms("abcdef")) == 3
     memory = Memory(word_terms)
