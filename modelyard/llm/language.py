@@ -15,14 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
 from .mixing import stored
 from .toxicity import Memory
 
-# Bounds of the labelled rows that the triples are counted in (those with the lowest digests), and of the triples.
+# Bounds, for each label, of the rows that the triples are counted in (those with the lowest digests), and of its triples.
 FIT_ROWS = 5000
 MAX_GRAMS = 30_000
 # Neighbouring triples are not independent: their log likelihoods count half.
@@ -78,15 +78,22 @@ class TextModel:
 
 
 def text_model(docs: DataFrame, label: str = "lang") -> TextModel:
-    """Triple counts of at most FIT_ROWS rows with a label, the MAX_GRAMS most frequent ones.
+    """Triple counts of at most FIT_ROWS rows of each label, and the MAX_GRAMS most frequent triples of each.
 
-    Rows with a null text, label or id are left out. Tasks count; the driver gets
-    the bounded table.
+    Rows with a null text, label or id are left out. A label with many rows is
+    first thinned by a hash of the ids to about twice the bound, so no task ranks
+    all of its rows. Tasks count; the driver gets the table, bounded for each label.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    known = known.select("doc_id", "text", F.col(label).alias("label"))
     digest = F.md5(F.concat_ws(":", F.lit(str(SEED)), F.col("doc_id").cast("string")))
-    chosen = known.select("doc_id").distinct().orderBy(digest).limit(FIT_ROWS)
-    rows = known.select("doc_id", "text", F.col(label).alias("label")).join(F.broadcast(chosen), "doc_id")
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    parts = 1 << 30
+    thin = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id")), F.lit(parts)) * F.col("size") < F.lit(2 * FIT_ROWS * parts)
+    few = known.select("doc_id", "label").join(F.broadcast(sizes), "label").filter(thin).select("doc_id", "label").distinct()
+    place = F.row_number().over(Window.partitionBy("label").orderBy(digest, "doc_id"))
+    chosen = few.withColumn("place", place).filter(F.col("place") <= FIT_ROWS).select("doc_id", "label")
+    rows = known.join(F.broadcast(chosen), ["doc_id", "label"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -98,9 +105,10 @@ def text_model(docs: DataFrame, label: str = "lang") -> TextModel:
             yield pd.DataFrame([(k, g, n) for (k, g), n in found.items()], columns=["label", "gram", "n"])
 
     counted = rows.select("text", "label").mapInPandas(count, "label string, gram string, n long")
-    by_gram = counted.groupBy("gram").agg(F.sum("n").alias("total"))
-    kept = by_gram.orderBy(F.desc("total"), "gram").limit(MAX_GRAMS).select("gram")
-    found = counted.join(F.broadcast(kept), "gram").groupBy("label", "gram").agg(F.sum("n").alias("n")).collect()
+    summed = counted.groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "gram"))
+    kept = summed.withColumn("rank", rank).filter(F.col("rank") <= MAX_GRAMS).select("gram").distinct()
+    found = summed.join(F.broadcast(kept), "gram").collect()
     languages = sorted({r.label for r in found})
     table_ = {r.gram: [0] * len(languages) for r in found}
     for r in found:

@@ -96,6 +96,18 @@ def test_rejected_documents_go(spark, folder):
     assert len(ids) >= docs.count() * 0.99 + 2 and in_some_language(docs.limit(0)).count() == 0
 
 
+def test_a_rare_language_of_another_script_is_learned_and_stays(spark, monkeypatch):
+    monkeypatch.setattr("modelyard.llm.language.FIT_ROWS", 30)
+    monkeypatch.setattr("modelyard.llm.language.MAX_GRAMS", 15)
+    greek = "και κακα ακ ακκα και κακα"
+    rows = [(i, WORDS["aa"], "aa", f"s{i % 3}") for i in range(600)] + [(1000 + i, greek, "el", "s0") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = text_model(docs)
+    assert model.languages == ["aa", "el", NONE] and all(sum(n[k] > 0 for n in model.counts.values()) > 3 for k in (0, 1))
+    assert max(n[0] for n in model.counts.values()) <= 30 * 4
+    assert {r.doc_id for r in in_some_language(docs).collect()} == {r[0] for r in rows}
+
+
 @pytest.mark.parametrize("share", [0.99])
 def test_accuracy(spark, share):
     folder = "/root/testdata/sf0.01"
