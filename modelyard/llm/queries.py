@@ -28,6 +28,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_line_rules": OP5_SQL,
-    "op6_near_classes": op6_near_classes,
     "op7_golden_mix": OP7_SQL,
 }
