@@ -97,8 +97,8 @@ def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, weight): term count times ln((1 + n) / (1 + documents with the
     term)) + 1, scaled so that each document's weights have length 1.
 
-    Counting merges copies before the shuffle. A term found in most documents is
-    joined through ``keyed_join``, which spreads its rows. A document's terms come
+    Counting merges copies before the shuffle. A term found in many documents is
+    spread by ``keyed_join``. A document's terms come
     together in one row, which its text already was.
     """
     documents = df.agg(F.count("*")).scalar()
@@ -108,7 +108,7 @@ def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     rarity = counted.groupBy("term").agg(F.count("*").alias("_in")).withColumn(
         "_idf", F.ln((1 + documents) / (1 + F.col("_in"))) + 1
     )
-    weighted = keyed_join(counted, rarity.select("term", "_idf"), "term").select(
+    weighted = keyed_join(counted, rarity.select("term", "_idf"), "term", spread=F.xxhash64(key)).select(
         key, "term", (F.col("_n") * F.col("_idf")).alias("weight")
     )
     gathered = weighted.groupBy(key).agg(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from modelyard.operators import scoring as S
 from modelyard.sources.predictions import PredictionTable
-from modelyard.operators.align import keyed_join, next_in_sequence, with_single, zip_lists
+from modelyard.operators.align import heavy_keys, keyed_join, next_in_sequence, with_single, zip_lists
 from modelyard.operators import routing
 
 NAN = float("nan")
@@ -64,15 +64,35 @@ def test_zip_stops_at_the_shorter_list(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("max_rows", [100, 1])
-def test_keyed_join_spreads_a_hot_key(spark, how, max_rows):
-    left = spark.range(900).select(F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("key"), "id")
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "key string, v int")
-    joined = keyed_join(left, right, "key", how, salts=8, max_rows=max_rows)
+def test_keyed_join_spreads_a_hot_key(spark, how):
+    names = F.when(F.col("id") < 600, "hot").when(F.col("id") % 6 < 5, F.concat(F.lit("k"), F.col("id") % 6))
+    left = spark.range(900).select(names.alias("key"), "id")
+    right = spark.createDataFrame([("hot", 1), ("hot", 9), ("k1", 2), ("k2", 3), ("unused", 4), (None, 5)], "key string, v int")
+    joined = keyed_join(left, right, "key", how, parts=10)
+    assert joined.columns == ["key", "id", "v"]
     assert joined.exceptAll(left.join(right, "key", how)).count() == 0
     assert joined.count() == left.join(right, "key", how).count()
 
 
+def test_heavy_keys_get_parts_by_their_share(spark):
+    left = spark.range(1000).select(F.when(F.col("id") < 600, 1).when(F.col("id") < 850, None).otherwise(F.col("id")).alias("k"))
+    found = {r["_hash"]: r["_parts"] for r in heavy_keys(left, "k", 10).collect()}
+    hashes = [r[0] for r in left.limit(1).select(F.xxhash64(F.lit(1).cast("bigint")), F.xxhash64(F.lit(None).cast("bigint"))).collect()[0:1]]
+    assert sorted(found.values()) == [3, 6] and found[hashes[0]] == 6
+    assert heavy_keys(left.limit(0), "k").count() == 0
+
+
+def test_a_term_of_every_document_is_spread(spark):
+    """With one part in ten as the bound, no group of (term, part) holds a fifth of the rows."""
+    left = spark.range(5000).select(F.lit("the").alias("key"), "id").union(spark.range(5000).select(F.col("id").cast("string"), "id"))
+    right = left.select("key").distinct().withColumn("v", F.lit(1))
+    joined = keyed_join(left, right, "key", parts=10)
+    spread = left.withColumn("_hash", F.xxhash64("key")).join(heavy_keys(left, "key", 10), "_hash", "left")
+    part = F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1)))
+    assert spread.groupBy("key", part).count().agg(F.max("count")).first()[0] < 2000
+    assert joined.count() == 10000
+
+
 def test_next_in_sequence(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 4, "c")], "key string, turn int, text string")
     found = next_in_sequence(df, "key", "turn", ["text"]).collect()
