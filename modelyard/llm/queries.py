@@ -12,6 +12,8 @@ from .near import op6_near_classes
 from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
 from .toxicity import op3_toxicity
+from .url_filter import op11_host_words
+from .whitening import op12_polarised_whitening
 
 QUERIES = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_license_chains": op9_license_chains,
     "op10_secret_spans": op10_secret_spans,
+    "op11_host_words": op11_host_words,
+    "op12_polarised_whitening": op12_polarised_whitening,
 }
 
 ORACLE_SQL = {
