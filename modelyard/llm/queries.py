@@ -9,6 +9,7 @@ from .licenses import op9_license_chains
 from .lm import op1_deleted_interpolation
 from .mixing import OP7_SQL, op7_golden_mix
 from .near import op6_near_classes
+from .prefix_trie import OP13_SQL, op13_prefix_trie
 from .quality import OP5_SQL, op5_line_rules
 from .secrets import op10_secret_spans
 from .toxicity import op3_toxicity
@@ -28,9 +29,11 @@ QUERIES = {
     "op10_secret_spans": op10_secret_spans,
     "op11_host_words": op11_host_words,
     "op12_polarised_whitening": op12_polarised_whitening,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op5_line_rules": OP5_SQL,
     "op7_golden_mix": OP7_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
