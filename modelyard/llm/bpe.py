@@ -22,16 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import per_text, table
+from .common import all_texts, table
 
 # How vocabularies of this kind split a text first. A fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Pieces whose ids a task remembers; then it starts afresh.
+# Pieces whose ids a task remembers; the half that was not used lately goes first.
 REMEMBERED = 200_000
 # Where token ids go out as arrays, a task remembers fewer and hands over so many rows at a time.
 REMEMBERED_WITH_IDS, ROWS_AT_ONCE = 50_000, 250
-# Symbols up to which the lowest pair is looked for by reading all pairs.
-SHORT = 32
+# Letters of texts that are cut into pieces at once.
+LETTERS_AT_ONCE = 1 << 20
+# Letters of a piece that is remembered, and symbols up to which fragments are merged side by side.
+SHORT, SIDE_BY_SIDE = 32, 128
+# Fragments that are merged side by side at once.
+FRAGMENTS_AT_ONCE = 1 << 15
 
 
 def default_tokenizer() -> str:
@@ -63,11 +67,19 @@ class ByteBpe:
         rules = [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs]
         self.ranks = {(a, b): rank for rank, (a, b, _) in enumerate(rules)}
         self.joined = [new for _, _, new in rules]
+        self.none = len(rules)
+        size = max(vocabulary.values()) + 1
+        keys = np.array([a * size + b for a, b, _ in rules], dtype=np.int64).reshape(-1)
+        self.order = np.argsort(keys).astype(np.int32)
+        self.pair_keys, self.radix = np.append(keys[self.order], np.iinfo(np.int64).max), size
+        self.order = np.append(self.order, np.int32(self.none))
+        self.joined_ids = np.append(np.array(self.joined, dtype=np.int32), np.int32(-1))
+        self.byte_id = np.array([self.byte_ids[b] for b in range(256)], dtype=np.int32)
         # Byte pairs inside some token; all others are cuts.
-        self.inside = bytearray(1 << 16)
+        self.inside = np.zeros(1 << 16, dtype=bool)
         for token in raw.values():
             for a, b in zip(token, token[1:]):
-                self.inside[a << 8 | b] = 1
+                self.inside[a << 8 | b] = True
         size = max(raw) + 1
         self.lengths = np.array([len(raw.get(i, b"")) for i in range(size)])
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
@@ -75,33 +87,77 @@ class ByteBpe:
         self.pieces = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.memory: dict[str, tuple[bytes, str]] = {}
+        # Packed ids, and ids as text, of pieces; in two halves by age.
+        self.ids: dict[str, bytes] = {}
+        self.numbers: dict[str, str] = {}
+        self.older: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a token can never reach from each byte to the next one."""
+        return ~self.inside[data[:-1].astype(np.int32) << 8 | data[1:]]
 
     def fragments(self, piece: bytes) -> list[bytes]:
-        inside, out, last = self.inside, [], 0
-        for at in range(1, len(piece)):
-            if not inside[piece[at - 1] << 8 | piece[at]]:
-                out.append(piece[last:at])
-                last = at
-        out.append(piece[last:])
+        ends = [0, *(np.flatnonzero(self.cuts(np.frombuffer(piece, dtype=np.uint8))) + 1).tolist(), len(piece)]
+        return [piece[a:b] for a, b in zip(ends, ends[1:])]
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the rule that joins each pair of ids, ``none`` where there is none; -1 is no id."""
+        keys = left.astype(np.int64) * self.radix + right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.order[at], self.none)
+
+    def merged_rows(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of ids, filled up with -1, after all merges: each turn joins the pair of lowest rank, the leftmost first, of every row."""
+        out, rows = ids.copy(), np.arange(len(ids))
+        ranks, columns = self.ranks_of(ids[:, :-1], ids[:, 1:]), np.arange(ids.shape[1])
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            lowest = ranks[np.arange(len(rows)), at]
+            live = lowest < self.none
+            if not live.all():
+                out[rows[~live]] = ids[~live]
+                rows, ids, ranks, at, lowest = rows[live], ids[live], ranks[live], at[live], lowest[live]
+                if not len(rows):
+                    break
+            line = np.arange(len(rows))
+            shift = np.minimum(columns + (columns > at[:, None]), ids.shape[1] - 1)
+            full = ids[:, -1] >= 0
+            ids = np.take_along_axis(ids, shift, axis=1)
+            ids[line, at] = self.joined_ids[lowest]
+            ids[full, -1] = -1
+            # The rank of the pair (c, c + 1) stands in column c.
+            last = ranks[:, -1].copy()
+            ranks = np.take_along_axis(ranks, np.minimum(shift[:, :-1], ranks.shape[1] - 1), axis=1)
+            ranks[:, -1] = np.where(at == ranks.shape[1], last, self.none)
+            here, after = ids[line, at], ids[line, np.minimum(at + 1, ids.shape[1] - 1)]
+            ranks[line, at] = np.where(at + 1 < ids.shape[1], self.ranks_of(here, after), self.none)
+            inner = at > 0
+            ranks[line[inner], at[inner] - 1] = self.ranks_of(ids[line[inner], at[inner] - 1], here[inner])
         return out
 
+    def merged_all(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all fragments of ``data`` one behind the other, and their number for each fragment, which stops before its ``ends``."""
+        starts = np.concatenate([[0], ends[:-1]])
+        lengths, ids, keep = ends - starts, self.byte_id[data], np.ones(len(data), dtype=bool)
+        least, width = 1, 2
+        while width <= SIDE_BY_SIDE:
+            group = np.flatnonzero((lengths > least) & (lengths <= width))
+            for part in (group[i : i + FRAGMENTS_AT_ONCE] for i in range(0, len(group), FRAGMENTS_AT_ONCE)):
+                places = starts[part, None] + np.arange(width)
+                there = np.arange(width) < lengths[part, None]
+                rows = np.where(there, ids[np.minimum(places, len(ids) - 1)], -1).astype(np.int32)
+                found = self.merged_rows(rows)
+                ids[places[there]], keep[places[there]] = found[there], (found >= 0)[there]
+            least, width = width, width * 2
+        for i in np.flatnonzero(lengths > SIDE_BY_SIDE):
+            found = self._merged_long(ids[starts[i] : ends[i]].tolist())
+            ids[starts[i] : starts[i] + len(found)] = found
+            keep[starts[i] + len(found) : ends[i]] = False
+        return ids[keep], np.add.reduceat(keep, starts) if len(starts) else np.zeros(0, dtype=int)
+
     def merged(self, fragment: bytes) -> list[int]:
         """Ids of a fragment: the pair of lowest rank, leftmost first, is joined until none is left."""
-        ids = [self.byte_ids[b] for b in fragment]
-        if len(ids) > SHORT:
-            return self._merged_long(ids)
-        rank, none, joined = self.ranks.get, len(self.joined), self.joined
-        found = [rank(p, none) for p in zip(ids, ids[1:])]
-        while found and (lowest := min(found)) < none:
-            at = found.index(lowest)
-            ids[at : at + 2] = [joined[lowest]]
-            del found[at]
-            if at < len(found):
-                found[at] = rank((ids[at], ids[at + 1]), none)
-            if at:
-                found[at - 1] = rank((ids[at - 1], ids[at]), none)
-        return ids
+        return self.merged_all(np.frombuffer(fragment, dtype=np.uint8), np.array([len(fragment)]))[0].tolist()
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
@@ -128,28 +184,68 @@ class ByteBpe:
             offer(before[at])
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
-        ids = [i for fragment in self.fragments(piece.encode("utf-8", "replace")) for i in self.merged(fragment)]
-        if len(self.memory) >= self.remembered:
-            self.memory.clear()
-        if len(piece) <= SHORT:
-            return self.memory.setdefault(piece, self._packed(ids))
-        return self._packed(ids)
-
-    @staticmethod
-    def _packed(ids: list[int]) -> tuple[bytes, str]:
-        return array("i", ids).tobytes(), ",".join(map(str, ids))
+    def learn(self, pieces: list[str]) -> None:
+        """Adds pieces to the memory: cut where no token can be, all fragments merged on their own, ids joined again."""
+        raw = [p.encode("utf-8", "replace") for p in pieces]
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        piece_ends = np.cumsum(list(map(len, raw)))
+        cut = np.append(self.cuts(data), True)
+        cut[piece_ends - 1] = True
+        ends = np.flatnonzero(cut) + 1
+        ids, counts = self.merged_all(data, ends)
+        upto = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(ends, piece_ends) + 1].tolist()
+        packed, numbers = ids.astype(np.int32).tobytes(), list(map(str, ids.tolist()))
+        spans = list(zip(pieces, [0, *upto], upto))
+        self.ids.update((p, packed[4 * a : 4 * b]) for p, a, b in spans)
+        self.numbers.update((p, ",".join(numbers[a:b])) for p, a, b in spans)
+
+    def remember(self, pieces: set[str]) -> None:
+        """Afterwards the memory has all of these pieces; what was not asked for since it was half full goes then."""
+        if len(self.ids) >= self.remembered // 2:
+            self.older, self.ids, self.numbers = (self.ids, self.numbers), {}, {}
+        new = pieces.difference(self.ids)
+        again = new.intersection(self.older[0])
+        self.ids.update((p, self.older[0][p]) for p in again)
+        self.numbers.update((p, self.older[1][p]) for p in again)
+        if len(new) > len(again):
+            self.learn(list(new - again))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        """For each text the ids, as an array and as decimal numbers joined by commas; texts are taken together up to LETTERS_AT_ONCE."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= LETTERS_AT_ONCE:
+                yield from self._encode_held(held)
+                held, size = [], 0
+        yield from self._encode_held(held)
+
+    def _encode_held(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        spans = [self.cut_special(text) if self.cut_special else [text] for text in texts]
+        pieces = [[span if i % 2 else self.pieces(span) for i, span in enumerate(parts)] for parts in spans]
+        distinct = {p for parts in pieces for some in parts[::2] for p in some}
+        self.remember(distinct)
+        ids_of, numbers_of = self.ids.__getitem__, self.numbers.__getitem__
+        try:
+            for parts in pieces:
+                packed, numbers = [], []
+                for i, some in enumerate(parts):
+                    if i % 2:
+                        packed.append(array("i", [self.special[some]]).tobytes())
+                        numbers.append(str(self.special[some]))
+                    else:
+                        packed += map(ids_of, some)
+                        numbers += map(numbers_of, some)
+                yield np.frombuffer(b"".join(packed), dtype=np.int32), ",".join(numbers)
+        finally:
+            for piece in distinct:
+                if len(piece) > SHORT:
+                    del self.ids[piece], self.numbers[piece]
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """The ids, as an array and as decimal numbers joined by commas."""
-        parts, known = [], self.memory
-        for i, span in enumerate(self.cut_special(text) if self.cut_special else [text]):
-            if i % 2:
-                parts.append(self._packed([self.special[span]]))
-            else:
-                parts += [known.get(piece) or self._piece(piece) for piece in self.pieces(span)]
-        ids = np.frombuffer(b"".join([p[0] for p in parts]), dtype=np.int32)
-        return ids, ",".join([p[1] for p in parts])
+        return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; bytes that form no character give the replacement character."""
@@ -180,7 +276,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     come out as they are; other columns are not read. No shuffle.
     """
     spec = _spec(path)
-    return per_text(docs, lambda text: (codec(spec).encode(text)[0],), "ids array<int>")
+    return all_texts(docs, lambda texts: ((ids,) for ids, _ in codec(spec).encode_all(texts)), "ids array<int>")
 
 
 def encoded_rows(docs: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
@@ -192,7 +288,7 @@ def encoded_rows(docs: DataFrame, *keep: str, path: str | None = None) -> DataFr
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.iloc[at : at + ROWS_AT_ONCE]
-                ids = [bpe.encode(text or "")[0] for text in part["text"]]
+                ids = [ids for ids, _ in bpe.encode_all([text or "" for text in part["text"]])]
                 yield part.drop(columns="text").assign(n_tokens=[len(x) for x in ids], ids=ids)
 
     kept = docs.select(*keep)
@@ -219,10 +315,10 @@ def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts, and digests of the ids and of the decoded text, of all documents."""
     spec = _spec(None)
 
-    def digest(text: str) -> tuple[int, str, str]:
+    def digests(texts: list[str]) -> Iterator[tuple[int, str, str]]:
         bpe = codec(spec)
-        ids, written = bpe.encode(text)
-        back = bpe.decode(ids)
-        return len(ids), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
+        for ids, written in bpe.encode_all(texts):
+            back = bpe.decode(ids)
+            yield len(ids), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
-    return per_text(table(spark, folder, "documents"), digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return all_texts(table(spark, folder, "documents"), digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")

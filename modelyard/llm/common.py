@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,12 +34,17 @@ def per_text(docs: DataFrame, measure: Callable[[str], tuple], schema: str) -> D
     ``schema`` names the tuple's fields. Tables that ``measure`` holds are built
     on the driver and go out with it, so they must be of a fixed small size.
     """
+    return all_texts(docs, lambda texts: map(measure, texts), schema)
+
+
+def all_texts(docs: DataFrame, measure: Callable[[list[str]], Iterable[tuple]], schema: str) -> DataFrame:
+    """As ``per_text``, with a ``measure`` that takes the texts of a batch together and gives their tuples in order."""
     fields = DataType.fromDDL(schema)
     names = fields.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = pd.DataFrame([measure(text) for text in batch["text"]], columns=names)
+            out = pd.DataFrame(list(measure(batch["text"].tolist())), columns=names)
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
