@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_remainder, per_text, table, texts
+from .mixing import stored
 
 # Bound of the labelled rows that the machine learns from (those with the lowest digests).
 FIT_ROWS = 20_000
@@ -103,13 +104,13 @@ class Places:
     def by_row(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(self.n)
         if len(self.full):
-            out[self.full] = np.add.reduceat(values[self.at], self.starts)
+            out[self.full] = np.add.reduceat(values.astype(np.float32)[self.at], self.starts)
         return out
 
     def by_term(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(self.width)
         if len(self.used):
-            out[self.used] = np.add.reduceat(values[self.of], self.firsts)
+            out[self.used] = np.add.reduceat(values.astype(np.float32)[self.of], self.firsts)
         return out
 
 
@@ -189,14 +190,17 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine
     """A machine from at most FIT_ROWS labelled rows; rows with a null label or id don't count.
 
     ``labels`` has doc_id and ``label``, 0 or 1 (repeated ids: 1 if any says 1).
-    Counting terms and reading texts is work of the tasks. The driver gets the kept
-    terms of each row and trains; both are bounded by the parameters above. No term
-    is left out for what it tells on its own, as pairs may tell what terms do not.
+    Of rows that share an id one text counts, that of the lowest digest, so the bound
+    holds whatever the ids. Counting terms and reading texts is work of all tasks;
+    one task then trains on the kept terms of the rows, both bounded by the parameters
+    above, and the driver gets the finished machine. No term is left out for what it
+    tells on its own, as pairs may tell what terms do not.
     """
     marked = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     digest = F.md5(F.concat_ws(":", F.lit(str(SEED)), F.col("doc_id").cast("string")))
     chosen = marked.orderBy(digest, "doc_id").limit(FIT_ROWS)
-    sample = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    sample = texts(docs).join(F.broadcast(chosen), "doc_id")
+    sample = stored(sample.groupBy("doc_id", "label").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text")), "labelled-texts")
 
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = Memory(word_terms)
@@ -227,9 +231,20 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine
             found = [np.array(sorted(text_terms(text, memory)), dtype=np.int32).tobytes() for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "found": found})
 
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["doc_id", "found"])
+        rows = [np.frombuffer(x, dtype=np.int32) for x in frame["found"]]
+        machine = fit_machine(terms, rows, frame["label"].to_numpy(dtype=float), clear)
+        columns = (machine.weights, machine.vectors)
+        return pd.DataFrame([[machine.constant, *(c.astype(np.float32).tobytes() for c in columns)]], columns=["constant", "weights", "vectors"])
+
     id_type = dict(sample.dtypes)["doc_id"]
-    rows = sample.mapInPandas(kept_terms, f"doc_id {id_type}, label int, found binary").orderBy("doc_id", F.md5("found")).collect()
-    return fit_machine(terms, [np.frombuffer(r.found, dtype=np.int32) for r in rows], np.array([r.label for r in rows], dtype=float), clear)
+    rows = sample.mapInPandas(kept_terms, f"doc_id {id_type}, label int, found binary")
+    found = rows.groupBy().applyInPandas(fit, "constant double, weights binary, vectors binary").first()
+    if found is None:
+        return fit_machine(terms, [], np.zeros(0))
+    weights, vectors = (np.frombuffer(x, dtype=np.float32).astype(float) for x in (found.weights, found.vectors))
+    return Machine(terms, weights, vectors.reshape(-1, FACTORS), found.constant)
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:

@@ -74,6 +74,33 @@ def test_edges(spark):
     assert 0 <= scored(docs, nothing).first().score <= 1 and scored(docs.limit(0), machine).count() == 0
 
 
+def test_repeated_ids_teach_once(spark, monkeypatch):
+    """A thousand rows of one id reach the fit as one."""
+    docs, labels = training(spark, 30)
+    many = docs.union(spark.range(1000).selectExpr("0L", "concat('alpha ', id)", "'x'"))
+    seen = []
+    monkeypatch.setattr("modelyard.llm.toxicity.stored", lambda df, name: seen.append(df.count()) or df)
+    trained(many, labels)
+    assert seen == [30]
+
+
+def test_query_equals_brute_force(spark, folder):
+    """Scores from the definition: all pairs of a text's terms, one by one."""
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    machine = trained(docs, labels.filter(id_remainder(3) != 1))
+    place = {int(t): i for i, t in enumerate(machine.terms)}
+    found = {r.doc_id: r for r in op3_toxicity(spark, folder).collect()}
+    rows = [r for r in docs.collect() if len(r.text or "") < 1500]
+    assert len(found) == docs.count() and len(rows) > 50
+    for r in rows:
+        words = set("".join(c if c.isalpha() else " " for c in (r.text or "").lower()).split())
+        at = sorted({place[t] for w in words for t in word_terms(w) if t in place})
+        margin = machine.constant + sum(machine.weights[i] for i in at)
+        margin += sum(float(machine.vectors[i] @ machine.vectors[j]) for n, i in enumerate(at) for j in at[:n])
+        want = 1 / (1 + np.exp(-margin))
+        assert abs(found[r.doc_id].score - want) < 1e-6 and found[r.doc_id].predicted == int(found[r.doc_id].score >= CUT)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     found = op3_toxicity(spark, folder)
