@@ -7,18 +7,19 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelyard.operators.boosting import HistBoosterModel, hist_regressor, joint_classifier
 from modelyard.operators.classification import accuracy
+from modelyard.operators.kernel import kernel_svm
 from modelyard.operators.regression import regression_metrics
 from modelyard.operators.registry import leaderboard
 
@@ -38,8 +39,8 @@ def forest_regressor(label: str, trees: int = 400, depth: int = 18, **params) ->
     return [RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, **settings)]
 
 
-def boosted_regressor(label: str, iterations: int = 400, depth: int = 10, step: float = 0.08, **params) -> list:
-    return [GBTRegressor(labelCol=label, maxIter=iterations, maxDepth=depth, stepSize=step, seed=SEED, **params)]
+def boosted_regressor(label: str, iterations: int = 400, depth: int = 10, step: float = 0.08, **settings) -> list:
+    return [hist_regressor(label, rounds=iterations, depth=depth, step=step, seed=SEED, **settings)]
 
 
 def _forest_classifier(label: str, **params) -> Estimator:
@@ -50,9 +51,9 @@ def _logistic(label: str, **params) -> Estimator:
     return LogisticRegression(labelCol=label, **{"maxIter": 200, **params})
 
 
-def _boosted_classifier(label: str, **params) -> Estimator:
-    """Boosted trees decide between two classes; one model per class covers more."""
-    return OneVsRest(labelCol=label, classifier=GBTClassifier(**{"seed": SEED, **params}))
+def _boosted_classifier(label: str, **settings) -> Estimator:
+    """Trees for all classes in each round, from the slopes of their joint softmax."""
+    return joint_classifier(label, seed=SEED, **settings)
 
 
 def _tree(label: str, **params) -> Estimator:
@@ -60,7 +61,7 @@ def _tree(label: str, **params) -> Estimator:
 
 
 def _linear_svm(label: str, **params) -> Estimator:
-    """A linear support vector machine per class; there is no kernel form in MLlib."""
+    """A linear support vector machine per class; ``kernel_svm`` is the one with a radial kernel."""
     return OneVsRest(labelCol=label, classifier=LinearSVC(**params))
 
 
@@ -70,6 +71,7 @@ CLASSIFIERS = {
     "xgboost": _boosted_classifier,
     "decision_tree": _tree,
     "linear_svm": _linear_svm,
+    "kernel_svm": kernel_svm,
 }
 
 
@@ -151,12 +153,19 @@ def split_counts(spark: SparkSession, model: Transformer, features: list[str], p
     """How many splits use each feature, read from the saved nodes of a tree
     model; 0 for a feature no split uses."""
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
+    if isinstance(last, HistBoosterModel):
+        nodes = spark.createDataFrame([(f,) for f in last.split_features()], "position int")
+        return _counted(names, nodes.groupBy("position").agg(F.count("*").alias("splits")))
     last.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
     node = "nodeData" if "nodeData" in nodes.columns else None
     index = F.col(f"{node}.split.featureIndex" if node else "split.featureIndex")
     used = nodes.filter(index >= 0).groupBy(index.alias("position")).agg(F.count("*").alias("splits"))
-    names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
+    return _counted(names, used)
+
+
+def _counted(names: DataFrame, used: DataFrame) -> DataFrame:
     return names.join(used, "position", "left").select(
         "feature", F.coalesce("splits", F.lit(0)).cast("bigint").alias("splits")
     )
