@@ -51,10 +51,7 @@ def numbered(items: Column) -> Column:
     results acts on multisets. Sorting puts equal elements side by side; an
     element's number is its distance from where its run starts."""
 
-    def from_sorted(s: Column) -> Column:
-        starts = F.filter(
-            F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)), lambda i: i.isNotNull()
-        )
+    def by_runs(s: Column, starts: Column) -> Column:
         runs = F.zip_with(
             starts,
             F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(s))),
@@ -70,6 +67,12 @@ def numbered(items: Column) -> Column:
             )
         )
 
+    def from_sorted(s: Column) -> Column:
+        starts = F.filter(
+            F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)), lambda i: i.isNotNull()
+        )
+        return bind(starts, lambda found: by_runs(s, found))
+
     return bind(
         F.array_sort(items),
         lambda s: F.when(F.size(s) > 0, from_sorted(s)).otherwise(F.array().cast("array<string>")),

@@ -63,10 +63,12 @@ def best_run(runs: DataFrame, order: list[Column], n: int = 1) -> DataFrame:
     return runs.orderBy(*order).limit(n)
 
 
-def best_prompt(evaluations: DataFrame, experiments: list[str] | None = None) -> DataFrame:
-    """At most one finished run, of the named experiments or of any: least toxic, then
-    closest to the target, then fastest."""
-    if experiments is not None:
+def best_prompt(evaluations: DataFrame, experiments: list[str] | DataFrame | None = None) -> DataFrame:
+    """At most one finished run, of the named experiments (a list, or a frame with
+    ``experiment``) or of any: least toxic, then closest to the target, then fastest."""
+    if isinstance(experiments, DataFrame):
+        evaluations = evaluations.join(experiments, "experiment", "left_semi")
+    elif experiments is not None:
         evaluations = evaluations.filter(F.col("experiment").isin(experiments))
     return best_run(
         evaluations.filter(F.col("status") == FINISHED),

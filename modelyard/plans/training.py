@@ -14,9 +14,9 @@ from modelyard.operators.classification import averaged_metrics
 from modelyard.operators.contract import drop_missing
 from modelyard.operators.drift import reference_profile
 from modelyard.operators.models import classifier
-from modelyard.operators.registry import best_value, latest_version, next_versions, promotion, version_metric
+from modelyard.operators.registry import best_value, latest_version, promotion, version_metric
 from modelyard.operators.splits import exact_split
-from modelyard.sources.tracking import Tracking
+from modelyard.sources.tracking import FAILED, FINISHED, RUNNING, Tracking
 
 # Metric name as asked for -> column of the averaged metrics.
 METRIC_COLUMNS = {"accuracy": "accuracy", "precision": "macro_precision"}
@@ -48,8 +48,25 @@ class TrainingJob:
         return indexer, Pipeline(stages=[assembler, model, names])
 
     def run(self, df: DataFrame) -> DataFrame:
-        """One row: run_id, new_value, best_value, register, reason."""
-        spark, run_id = df.sparkSession, uuid.uuid4().hex
+        """One row: run_id, new_value, best_value, register, reason.
+
+        The run is RUNNING from here on, FINISHED when its version is registered
+        (or not), and FAILED if anything stops it before.
+        """
+        run_id = uuid.uuid4().hex
+        self.tracking.log_state(run_id, self.experiment, RUNNING)
+        try:
+            decided = self._run(df, run_id)
+        except Exception as error:
+            self.tracking.log_state(run_id, self.experiment, FAILED, {"error": type(error).__name__})
+            raise
+        reason = decided.first()["reason"]
+        tags = {"has_drift_detector": "true", **({"model_registration_reason": reason} if reason else {})}
+        self.tracking.log_state(run_id, self.experiment, FINISHED, tags)
+        return decided
+
+    def _run(self, df: DataFrame, run_id: str) -> DataFrame:
+        spark = df.sparkSession
         rows = drop_missing(df.select(*self.key, *self.features, self.label))
         train, test = exact_split(rows, self.key, self.test_fraction, self.seed)
         indexer, pipeline = self._stages(train)
@@ -66,24 +83,21 @@ class TrainingJob:
         model.write().overwrite().save(self.tracking.model_path(run_id))
         profile = reference_profile(train, self.features).withColumn("run_id", F.lit(run_id))
         self.tracking.append("references", profile)
-        self.tracking.append_values("metrics", [(run_id, k, v) for k, v in results.items()])
+        self.tracking.log_metrics(run_id, results)
         self.tracking.append_values("params", [(run_id, "model_type", self.model_type)])
 
-        decided = self._decide(spark, run_id, results.get(self.main_metric, 0.0)).persist()
-        reason = decided.first()["reason"]
-        fresh = next_versions(decided, self.tracking.read("model_versions"))
-        # Read before it is appended to: the one new row is fixed first.
-        self.tracking.append_values("model_versions", [tuple(r) for r in fresh.collect()])
-        tags = {"has_drift_detector": "true", **({"model_registration_reason": reason} if reason else {})}
-        runs = spark.createDataFrame([(run_id, self.experiment, "FINISHED", tags)], "run_id string, experiment string, status string, tags map<string,string>")
-        self.tracking.append("runs", runs.withColumn("start_time", F.current_timestamp()))
+        # Fixed before versions are added: the decision is on the state found.
+        decided = self._decide(spark, run_id, results.get(self.main_metric, 0.0))
+        decided = spark.createDataFrame(decided.collect(), decided.schema)
+        if decided.first()["register"]:
+            self.tracking.register(self.model_name, run_id)
         return decided
 
     def _decide(self, spark: SparkSession, run_id: str, new_value: float) -> DataFrame:
         """The bar is the best among the latest versions of each stage."""
         versions = self.tracking.read("model_versions").filter(F.col("name") == self.model_name)
         latest = latest_version(versions, ["name", "stage"])
-        best = best_value(version_metric(latest, self.tracking.read("metrics"), self.main_metric))
+        best = best_value(version_metric(latest, self.tracking.last_metrics(), self.main_metric))
         candidate = spark.createDataFrame(
             [(self.model_name, run_id, new_value)], "name string, run_id string, new_value double"
         )

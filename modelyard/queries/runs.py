@@ -172,14 +172,14 @@ def best_prompt_(spark, folder):
 @query(
     "best_prompt_of_experiments",
     "T1 P16",
-    f"""WITH {RUNS}, {WIDE}, few AS (SELECT DISTINCT experiment FROM runs ORDER BY experiment LIMIT 3)
+    f"""WITH {RUNS}, {WIDE}, few AS (SELECT DISTINCT experiment FROM runs WHERE use_case = '1-urgent')
         SELECT run_id, experiment, toxicity, round(rouge2, 6) AS rouge2, round(latency, 6) AS latency
         FROM runs JOIN wide USING (run_id) JOIN few USING (experiment) WHERE status = 'FINISHED'
         ORDER BY toxicity ASC NULLS LAST, wide.rouge2 DESC NULLS LAST, wide.latency ASC NULLS LAST, run_id LIMIT 1""",
 )
 def best_prompt_of_experiments(spark, folder):
     runs = run_table(spark, folder)
-    names = [r.experiment for r in runs.select("experiment").distinct().orderBy("experiment").limit(3).collect()]
+    names = with_tag(runs, "use_case", "1-urgent").select("experiment")
     evaluations = runs.join(wide_metrics(spark, folder), "run_id")
     found = best_prompt(evaluations, experiments=names)
     return rounded(found.select("run_id", "experiment", "toxicity", "rouge2", "latency"))

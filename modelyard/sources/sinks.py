@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelyard.sources.commits import put_file
 from modelyard.sources.readers import TEXT_FORMATS
 
 # Blanks around a value belong to it; a quote inside one is doubled.
@@ -36,11 +37,14 @@ def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS)
 
 
 def write_document(df: DataFrame, path: str, latest: str | None = None) -> None:
-    """JSON document at ``path``; ``latest`` is a second copy, replaced each time."""
+    """JSON document at ``path``; ``latest`` is a second copy, in one file that a new one replaces at once.
+
+    Whoever reads ``latest`` meanwhile, or after a failure, finds the old document.
+    """
     df.write.mode("overwrite").options(**TEXT_FORMATS).json(path)
     if latest:
         written = df.sparkSession.read.options(**TEXT_FORMATS).schema(df.schema).json(path)
-        written.write.mode("overwrite").options(**TEXT_FORMATS).json(latest)
+        put_file(written, latest, "document.json", lambda one, at: one.write.options(**TEXT_FORMATS).json(at))
 
 
 def rows_as_json(df: DataFrame, name: str = "json") -> DataFrame:

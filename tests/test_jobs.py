@@ -1,5 +1,8 @@
 """Whole jobs and streams: gates stop them, reruns change nothing, streams equal batches."""
 
+import json
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from modelyard.plans.monitoring import DONE, SKIPPED, ScoringJob
 from modelyard.plans.regression import RegressionJob
 from modelyard.plans.table_lab import load
 from modelyard.plans.training import TrainingJob
+from modelyard.sources.commits import put
 from modelyard.sources.predictions import PredictionTable
 from modelyard.sources.sinks import write_csv
 from modelyard.sources.tracking import Tracking
@@ -60,6 +64,47 @@ def test_training_registers_what_is_not_worse(spark, flowers, tmp_path):
     assert {r.key for r in job.tracking.read("metrics").select("key").distinct().collect()} == {"accuracy", "precision"}
 
 
+def test_a_stopped_run_is_failed(spark, flowers, tmp_path):
+    job = training(spark, tmp_path)
+    job.run(flowers)
+    with pytest.raises(Exception, match="no_such_column"):
+        training(spark, tmp_path, params={}).__class__(job.tracking, "iris", "exp", ["no_such_column"], "species", ["id"]).run(flowers)
+    runs = job.tracking.read("runs")
+    assert sorted(r.status for r in runs.collect()) == ["FAILED", "FINISHED"]
+    assert runs.filter("status = 'FINISHED'").first().tags["has_drift_detector"] == "true"
+    assert job.tracking.read("model_versions").count() == 1
+
+
+def test_metrics_have_steps(spark, tmp_path):
+    tracking = Tracking(spark, str(tmp_path))
+    for step, loss in ((0, 3.0), (2, 1.0), (1, 2.0)):
+        tracking.log_metrics("r", {"loss": loss}, step)
+    tracking.log_metrics("r", {"loss": 0.5}, 2)
+    assert [(r.key, r.value, r.step) for r in tracking.last_metrics().collect()] == [("loss", 0.5, 2)]
+    assert tracking.read("metrics").count() == 4
+
+
+def test_two_jobs_that_register_at_once_get_different_versions(spark, tmp_path):
+    tracking = Tracking(spark, str(tmp_path))
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda i: tracking.register("m/odd name", f"run{i}"), range(6)))
+    assert sorted(map(int, versions)) == [1, 2, 3, 4, 5, 6]
+    found = {r.version: r.run_id for r in tracking.read("model_versions").filter("name = 'm/odd name'").collect()}
+    assert len(set(found.values())) == 6 and tracking.register("other", "r") == "1"
+
+
+def test_champion_scoring(spark, flowers, scoring):
+    """The first version is made champion; a later one is not used for scoring."""
+    later = training(spark, scoring.tracking.root, force=True)
+    later.run(flowers.withColumn("species", F.lit("setosa")))
+    versions = scoring.tracking.read("model_versions").collect()
+    first = next(v for v in versions if v.version == "1")
+    put(spark, f"{scoring.tracking.path('model_versions')}/alias/1.json", json.dumps({**first.asDict(), "aliases": ["champion"]}))
+    best = ScoringJob(scoring.tracking, "iris", FLOWER, scoring.predictions, scoring.reports, champion=True)
+    assert best.score(flowers).select("prediction").distinct().count() == 3
+    assert scoring.score(flowers).select("prediction").distinct().count() == 1
+
+
 def test_training_leaves_out_incomplete_rows(spark, flowers, tmp_path):
     holes = flowers.withColumn("petal_length", F.when(F.col("id") >= 60, F.col("petal_length")))
     job = training(spark, tmp_path, metrics="accuracy")

@@ -1,9 +1,12 @@
 import pandas as pd
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from modelyard.operators import scoring as S
 from modelyard.sources.predictions import PredictionTable
+from tests.conftest import plan_of
 from modelyard.operators.align import heavy_keys, keyed_join, next_in_sequence, with_single, zip_lists
 from modelyard.operators import routing
 
@@ -57,6 +60,27 @@ def test_prediction_table(spark, tmp_path):
     assert [r.seq for r in stored.last(2).collect()] == [5, 3]
 
 
+def test_old_batches_are_pruned(spark, tmp_path):
+    """Rows are read only where a digest was found, and the last rows only from the newest batches."""
+    schema = spark.createDataFrame([], "seq int, x double, prediction string").schema
+    stored = PredictionTable(spark, str(tmp_path / "p"), schema, ["seq"])
+    rows = lambda low, high: spark.range(low, high).selectExpr("cast(id as int) seq", "cast(id as double) x", "'p' prediction")
+    for batch in range(4):
+        stored.append(rows(100 * batch, 100 * batch + 50), batch)
+    staged = rows(120, 123).union(rows(900, 905)).withColumn("_digest", F.xxhash64("x", "prediction"))
+    staged = staged.withColumn("_bucket", F.pmod("_digest", F.lit(8)).cast("int"))
+    pruned = re.compile(r"PartitionFilters: \[([^\]]*batch[^\]]*)\]")
+    found = stored.earlier(staged, 9)
+    assert found.select("batch").distinct().collect() == [(1,)] and found.select("_bucket").distinct().count() <= 3
+    assert "= 1)" in pruned.search(plan_of(found)).group(1)
+    assert not stored.earlier(staged.filter("seq >= 900"), 9).count()
+    newest = stored.last(60)
+    assert "IN (3,2)" in pruned.search(plan_of(newest)).group(1)
+    assert [r.seq for r in newest.collect()][:2] == [349, 348] and newest.count() == 60
+    stored.append(rows(0, 350), 4)
+    assert stored.read().count() == 350 and stored.newest(1) == [4]
+
+
 def test_zip_stops_at_the_shorter_list(spark):
     df = spark.createDataFrame([([1, 2, 3], ["a", "b"]), ([], ["a"])], "x array<int>, y array<string>")
     found = [[tuple(p) for p in r[0]] for r in df.select(zip_lists(F.col("x"), F.col("y"))).collect()]

@@ -100,6 +100,19 @@ def test_cached_count(spark):
     kept.unpersist()
 
 
+def test_a_failed_write_leaves_the_latest_document(spark, tmp_path, monkeypatch):
+    one = spark.createDataFrame([(1,)], "n int")
+    W.write_document(one, str(tmp_path / "d1"), str(tmp_path / "latest"))
+
+    def stop(*args):
+        raise RuntimeError("between write and swap")
+
+    monkeypatch.setattr("modelyard.sources.commits._renamed", stop)
+    with pytest.raises(RuntimeError):
+        W.write_document(spark.createDataFrame([(2,)], "n int"), str(tmp_path / "d2"), str(tmp_path / "latest"))
+    assert [r.n for r in spark.read.json(str(tmp_path / "latest")).collect()] == [1]
+
+
 def test_tracking_tables(spark, tmp_path):
     tracking = Tracking(spark, str(tmp_path))
     assert tracking.read("metrics").count() == 0
