@@ -50,10 +50,15 @@ def test_edges(spark):
     assert redacted(docs).columns == docs.columns
 
 
-def test_query_equals_brute_force(spark, folder):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
-    rows = op10_secret_spans(spark, folder).collect()
-    assert len(rows) == len(texts) and any(r.n_access for r in rows)
+def test_query_equals_brute_force(spark, folder, tmp_path):
+    """The documents of the smallest scale, and planted ones so that every kind occurs."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    planted = ["key AKIA" + "Q7" * 8 + " here", 'Password: "hunter2hunter2"', "api_key=abcdef0123456789abcdef", "deadbeef" * 3, "AKIA short", "token = x"]
+    extra = spark.createDataFrame([(10**9 + i, text) for i, text in enumerate(planted)], "doc_id long, text string")
+    docs.unionByName(extra, allowMissingColumns=True).write.parquet(f"file://{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"file://{tmp_path}/documents.parquet").collect()}
+    rows = op10_secret_spans(spark, f"file://{tmp_path}").collect()
+    assert len(rows) == len(texts) and all(any(r[n] for r in rows) for n in ("n_assign", "n_access", "n_hex"))
     for r in rows:
         want = brute(texts[r.doc_id] or "")
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in want) for i in range(3))
