@@ -12,7 +12,6 @@ import heapq
 import json
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -448,6 +447,15 @@ class _BoosterParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabili
     def read_settings(self) -> Settings:
         return Settings(**json.loads(self.getOrDefault("settings")))
 
+    def getMaxIter(self) -> int:
+        return self.read_settings().rounds
+
+    def getMaxDepth(self) -> int:
+        return self.read_settings().depth
+
+    def getStepSize(self) -> float:
+        return self.read_settings().step
+
 
 class HistBooster(Estimator, _BoosterParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fits a ``HistBoosterModel``; ``settings`` are those of ``Settings``.
@@ -602,10 +610,22 @@ class _Reader(MLReader):
         return model
 
 
+# Names that MLlib's estimators have for the same settings.
+MLLIB_NAMES = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "step", "maxBins": "bins", "minInstancesPerNode": "min_rows"}
+
+
 def booster(label: str, features: str = "features", seed: int = 42, **settings) -> HistBooster:
-    return HistBooster(labelCol=label, featuresCol=features, seed=seed, settings=json.dumps(asdict(Settings(**settings))))
+    """A booster by ``Settings``, which may go by MLlib's names."""
+    named = {MLLIB_NAMES.get(k, k): v for k, v in settings.items()}
+    return HistBooster(labelCol=label, featuresCol=features, seed=seed, settings=json.dumps(asdict(Settings(**named))))
 
 
 # What the two common libraries of this kind do unless told otherwise.
-hist_regressor = partial(booster, loss="squared", rounds=100, step=0.1, depth=0, leaves=31, min_rows=20, patience=10)
-joint_classifier = partial(booster, loss="softmax", rounds=100, step=0.3, depth=6, leaves=0, min_rows=1, min_weight=1.0, l2=1.0, bins=255)
+def hist_regressor(label: str, **settings) -> HistBooster:
+    own = {"loss": "squared", "rounds": 100, "step": 0.1, "depth": 0, "leaves": 31, "min_rows": 20, "patience": 10}
+    return booster(label, **{**own, **{MLLIB_NAMES.get(k, k): v for k, v in settings.items()}})
+
+
+def joint_classifier(label: str, **settings) -> HistBooster:
+    own = {"loss": "softmax", "rounds": 100, "step": 0.3, "depth": 6, "leaves": 0, "min_rows": 1, "min_weight": 1.0, "l2": 1.0}
+    return booster(label, **{**own, **{MLLIB_NAMES.get(k, k): v for k, v in settings.items()}})
