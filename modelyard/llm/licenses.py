@@ -3,12 +3,15 @@
 The automaton holds every run of words of every template. A text streams
 through it once; at each word it knows the longest run ending there that some
 template has. Long runs that follow one another in a text and in a template
-are chained, and the share of a template that its best chain covers decides.
+are chained, and the share of a template that a chain covers decides: a run may
+stand at several places of a template and follow any earlier run near enough,
+and a text may hold a template several times.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,17 +74,16 @@ class SuffixAutomaton:
     def __init__(self, lists: list[list[bytes]]) -> None:
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        ends: list[dict[int, int]] = [{}]  # per state: list number -> one end of the run in it
+        ends: list[set[tuple[int, int]]] = [set()]  # per state: (list number, end) wherever its runs stand
         for number, words in enumerate(lists):
             last = 0
             for at, word in enumerate(words, 1):
                 last = self._extend(last, word, ends)
-                ends[last].setdefault(number, at)
+                ends[last].add((number, at))
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
             if self.link[state] > 0:
-                for number, at in ends[state].items():
-                    ends[self.link[state]].setdefault(number, at)
-        self.ends = ends
+                ends[self.link[state]] |= ends[state]
+        self.ends = [sorted(found) for found in ends]
 
     def _extend(self, last: int, word: bytes, ends) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -91,7 +93,7 @@ class SuffixAutomaton:
             nxt.append(dict(nxt[q]))
             link.append(link[q])
             length.append(length[p] + 1)
-            ends.append({})
+            ends.append(set())
             link[q] = clone
             while p >= 0 and nxt[p].get(word) == q:
                 nxt[p][word] = clone
@@ -105,7 +107,7 @@ class SuffixAutomaton:
         nxt.append({})
         link.append(0)
         length.append(length[last] + 1)
-        ends.append({})
+        ends.append(set())
         p = last
         while p >= 0 and word not in nxt[p]:
             nxt[p][word] = state
@@ -162,34 +164,65 @@ class LicenseScanner:
             runs.append((len(words) - size, len(words), state))
         return places, runs
 
-    def chains(self, runs) -> list[tuple[float, int, int, int]]:
-        """(share of the template, template, first word, end) of the best chain of each template."""
-        best: dict[int, tuple[float, int, int, int]] = {}
-        # Open chain per template: text start, text end, template end, words covered.
-        open_chains: dict[int, tuple[int, int, int, int]] = {}
+    def best_chains(self, runs) -> dict[int, list[tuple[int, int, int]]]:
+        """Per template, for each place of each run: (words covered, first word, end) of the best chain that ends there.
+
+        A run follows one that ends before it does, in the text and in the template,
+        with at most MAX_GAP words between them in either; words that both cover
+        count once. Among chains covering as much, the one that starts last is best.
+        """
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        near: dict[int, list[tuple[int, int, int, int]]] = {}  # per template: text end, template end, covered, first word
         for start, end, state in runs:
-            for number, to in self.automaton.ends[state].items():
+            size = end - start
+            here: dict[int, list[tuple[int, int, int, int]]] = {}
+            for number, to in self.automaton.ends[state]:
                 if number < self.phrases:
                     continue
-                size = end - start
-                chain = (start, end, to, size)
-                if (old := open_chains.get(number)) and start - old[1] <= MAX_GAP and 0 <= to - old[2]:
-                    # Words that both runs cover, in the text or in the template, count once.
-                    fresh = min(size, to - old[2], end - old[1])
-                    if fresh > 0 and to - size - old[2] <= MAX_GAP:
-                        chain = (old[0], end, to, old[3] + fresh)
-                open_chains[number] = chain
-                share = min(1.0, chain[3] / len(self.lists[number]))
-                if number not in best or share > best[number][0]:
-                    best[number] = (share, number, chain[0], end)
-        return sorted(best.values(), key=lambda x: (-x[0], x[1]))
+                if number not in here:
+                    # Runs come by rising start and end: what is too far now stays so.
+                    near[number] = [x for x in near.get(number, ()) if start - x[0] <= MAX_GAP]
+                best = (size, start)
+                for text_end, template_end, covered, first in near[number]:
+                    if template_end < to <= template_end + size + MAX_GAP:
+                        best = max(best, (covered + min(size, to - template_end, end - text_end), first))
+                here.setdefault(number, []).append((end, to, *best))
+                found.setdefault(number, []).append((*best, end))
+            for number, places in here.items():
+                near[number] += places
+        return found
+
+    def chains(self, runs) -> tuple[list[tuple[float, int, int, int]], float]:
+        """(share of the template, template, first word, end) of the chains found, and the largest share of any.
+
+        Of the chains that cover LEAST_COVER of a template, those are found that do not
+        overlap and have the largest sum of squared shares, which one whole notice
+        gives rather than its two halves.
+        """
+        found, largest = [], 0.0
+        for number, ended in self.best_chains(runs).items():
+            words = len(self.lists[number])
+            shares = [(min(1.0, covered / words), first, end) for covered, first, end in ended]
+            largest = max(largest, max(shares)[0])
+            ends, chosen = [0], [(0.0, None, None)]  # best choice among chains up to an end: sum, chain, choice before it
+            for share, first, end in shares:
+                if share < LEAST_COVER:
+                    continue
+                before = chosen[bisect_right(ends, first) - 1]
+                if before[0] + share * share > chosen[-1][0]:
+                    ends.append(end)
+                    chosen.append((before[0] + share * share, (share, number, first, end), before))
+            choice = chosen[-1]
+            while choice[1]:
+                found.append(choice[1])
+                choice = choice[2]
+        return sorted(found, key=lambda x: (x[2], x[3], x[1])), largest
 
     def scan(self, text: str):
-        """Number of words, phrase places, and the chains that cover enough of their template; all chains' best share."""
+        """Number of words, phrase places, chains found, largest share of a template in any chain."""
         words = license_words(text)
         places, runs = self.statistics(words)
-        chains = self.chains(runs)
-        return len(words), places, [c for c in chains if c[0] >= LEAST_COVER], chains[0][0] if chains else 0.0
+        return len(words), places, *self.chains(runs)
 
 
 @lru_cache(1)
@@ -201,8 +234,8 @@ def scanner() -> LicenseScanner:
 def license_spans(docs: DataFrame) -> DataFrame:
     """doc_id, spans array<struct<label, first_word, end_word, share>> of every row.
 
-    A phrase gives one span for each place, with share 1; a template gives the
-    span of its best chain, if that covers LEAST_COVER of it. Words count from
+    A phrase gives one span for each place, with share 1; a template gives one
+    span for each chain that covers LEAST_COVER of it and overlaps no better one. Words count from
     0, ends are exclusive; spans are ordered by start, end, label. A null or empty text has none;
     repeated rows and null doc_ids come out as they are; an empty table gives no
     rows; other columns are not read. No shuffle, nothing but constants goes to the tasks.

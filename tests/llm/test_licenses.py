@@ -1,7 +1,10 @@
 import random
 import re
+from itertools import combinations
 
-from modelyard.llm.licenses import PHRASES, TEMPLATES, license_spans, license_words, op9_license_chains, scanner
+import pytest
+
+from modelyard.llm.licenses import LEAST_COVER, MAX_GAP, PHRASES, TEMPLATES, license_spans, license_words, op9_license_chains, scanner
 
 
 def holds(words, part):
@@ -32,12 +35,75 @@ def test_chains_bridge_changed_words():
     tool = scanner()
     words = license_words(TEMPLATES["mit"])
     changed = words[:20] + [b"changed"] + words[21:50] + words[53:]
-    share, number, start, end = tool.chains(tool.statistics(changed)[1])[0]
-    assert tool.labels[number] == "mit" and (start, end) == (0, len(changed)) and 0.9 < share < 1
+    [(share, number, start, end)], largest = tool.chains(tool.statistics(changed)[1])
+    assert share == largest and tool.labels[number] == "mit" and (start, end) == (0, len(changed)) and 0.9 < share < 1
     half = words[: len(words) // 3]
     assert not tool.scan(b" ".join(half).decode())[2]
 
 
+@pytest.mark.parametrize("label", list(TEMPLATES))
+def test_every_template_is_found_with_every_ninth_word_changed(label):
+    words = license_words(TEMPLATES[label])
+    changed = [b"changed" if at % 9 == 8 else word for at, word in enumerate(words)]
+    chains = scanner().scan(b" ".join(changed).decode())[2]
+    assert [scanner().labels[c[1]] for c in chains] == [label] and chains[0][0] > 0.8
+
+
+def test_a_notice_keeps_its_label_beside_its_own_words():
+    """Words of the notice's beginning, in its middle, neither end the chain nor take its place."""
+    words = license_words(TEMPLATES["mit"])
+    changed = words[:50] + words[10:15] + words[53:]
+    [(share, number, start, end)] = scanner().scan(b" ".join(changed).decode())[2]
+    assert scanner().labels[number] == "mit" and (start, end) == (0, len(changed)) and share > 0.9
+
+
+def test_each_notice_of_a_text_is_a_span():
+    notice = TEMPLATES["apache"]
+    n = len(license_words(notice))
+    for between in ("", "int main ( void )", "x " * 100):
+        gap = len(license_words(between))
+        chains = scanner().scan(f"{notice} {between} {notice} {between} {notice}")[2]
+        assert [(c[2], c[3]) for c in chains] == [(k * (n + gap), k * (n + gap) + n) for k in range(3)]
+
+
+def test_chains_equal_all_sequences_of_runs():
+    """Best chains against every sequence of runs, choices against every set of chains."""
+    pick, tool = random.Random(5), scanner()
+    for _ in range(40):
+        words = []
+        for _ in range(pick.randint(2, 6)):
+            part = tool.lists[pick.choice([5, 9])]
+            at = pick.randrange(len(part) - 4)
+            words += part[at : at + pick.randint(4, 40)] + [b"zz"] * pick.choice([0, 1, 20, 35])
+        runs = tool.statistics(words)[1]
+        places: dict = {}
+        for start, end, state in runs:
+            for number, to in tool.automaton.ends[state]:
+                if number >= tool.phrases:
+                    places.setdefault(number, []).append((start, end, to))
+        ended = tool.best_chains(runs)
+        assert ended.keys() == places.keys()
+        want = []
+        for number, nodes in places.items():
+
+            def sequences(i):
+                start, end, to = nodes[i]
+                yield end - start, start
+                for j, (a, b, before) in enumerate(nodes[:i]):
+                    if a < start and start - b <= MAX_GAP and before < to and to - (end - start) - before <= MAX_GAP:
+                        for covered, first in sequences(j):
+                            yield covered + min(end - start, to - before, end - b), first
+
+            best = [(*max(sequences(i)), nodes[i][1]) for i in range(len(nodes))]
+            assert ended[number] == best
+            shares = [(min(1.0, c / len(tool.lists[number])), a, b) for c, a, b in best]
+            shares = [x for x in shares if x[0] >= LEAST_COVER]
+            sets = [c for k in range(4) for c in combinations(shares, k) if all(x[2] <= y[1] for x, y in zip(c, c[1:]))]
+            want.append(max(sum(x[0] ** 2 for x in c) for c in sets))
+        chains, _ = tool.chains(runs)
+        assert sum(c[0] ** 2 for c in chains) == pytest.approx(sum(want))
+
+
 def test_labels_of_the_method_come_on_top():
     tool = scanner()
     n, places, chains, _ = tool.scan("x " + TEMPLATES["bsd"] + " under the MIT License.")
