@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from modelyard.operators.classification import averaged_metrics
 from modelyard.operators.contract import drop_missing
-from modelyard.operators.drift import reference_profile
+from modelyard.operators.drift import bounded_profile, reference_profile
 from modelyard.operators.models import classifier
 from modelyard.operators.registry import best_value, latest_version, promotion, version_metric
 from modelyard.operators.splits import exact_split
@@ -37,6 +37,8 @@ class TrainingJob:
     test_fraction: float = 0.2
     seed: int = 42
     params: dict = field(default_factory=dict)
+    # Quantiles kept of each feature for drift tests; all its distinct values where None.
+    profile_points: int | None = None
 
     def _stages(self, train: DataFrame) -> tuple[StringIndexerModel, Pipeline]:
         indexer = StringIndexer(inputCol=self.label, outputCol="label_index", handleInvalid="skip").fit(
@@ -81,8 +83,11 @@ class TrainingJob:
         results = {m: float(found[METRIC_COLUMNS[m]]) for m in asked if m in METRIC_COLUMNS}
 
         model.write().overwrite().save(self.tracking.model_path(run_id))
-        profile = reference_profile(train, self.features).withColumn("run_id", F.lit(run_id))
-        self.tracking.append("references", profile)
+        if self.profile_points:
+            profile = bounded_profile(train, self.features, self.profile_points)
+        else:
+            profile = reference_profile(train, self.features)
+        self.tracking.append("references", profile.withColumn("run_id", F.lit(run_id)))
         self.tracking.log_metrics(run_id, results)
         self.tracking.append_values("params", [(run_id, "model_type", self.model_type)])
 

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelyard.operators.drift import (
+    PROFILE_POINTS,
     any_drift,
+    bounded_profile,
     drift_report,
     drift_test,
     feature_rows,
     ks_distance,
     reference_profile,
+    sketch_rank_error,
     version_with_reference,
     with_decision,
     with_p_value,
@@ -116,6 +119,37 @@ def reference_profile_(spark, folder):
     return spark.read.schema(profile.schema).parquet(path)
 
 
+@query(
+    "bounded_reference_profile",
+    "D1 D2",
+    f"""WITH {OLD}, {LATER}, long AS ({_unpivot('old', 'ref')} UNION ALL {_unpivot('cur', 'cur')}),
+        d AS (SELECT feature, value, sum(ref) AS ref, sum(cur) AS cur FROM long GROUP BY 1, 2),
+        n AS (SELECT feature, sum(ref)::BIGINT AS n_ref, sum(cur)::BIGINT AS n_cur FROM long GROUP BY 1),
+        g AS (SELECT feature, n_ref, n_cur, abs(sum(ref) OVER w / n_ref - sum(cur) OVER w / n_cur) AS gap
+              FROM d JOIN n USING (feature) WINDOW w AS (PARTITION BY feature ORDER BY value))
+        SELECT feature, n_ref, n_cur, round(max(gap), 6) AS distance, true AS profile_bounded, true AS distance_within
+        FROM g GROUP BY 1, 2, 3""",
+)
+def bounded_reference_profile(spark, folder):
+    """The exact distance, and whether quantiles of the training rows give it within their stated error."""
+    training, later = training_rows(spark, folder), feature_rows(later_rows(spark, folder), FEATURES)
+    path = scratch_path(spark, "bounded-reference")
+    written = bounded_profile(training, FEATURES)
+    written.write.mode("overwrite").parquet(path)
+    profile = spark.read.schema(written.schema).parquet(path)
+    exact = ks_distance(feature_rows(training, FEATURES), later)
+    near = ks_distance(profile, later).select("feature", F.col("n_ref").alias("profile_n"), F.col("distance").alias("near"))
+    rows = profile.groupBy("feature").agg(F.count("*").alias("profile_rows"))
+    # Both sides have one row per feature named above.
+    found = exact.join(F.broadcast(near), "feature").join(F.broadcast(rows), "feature")
+    error = 1 / PROFILE_POINTS + sketch_rank_error()
+    return rounded(found.select(
+        "feature", "n_ref", "n_cur", "distance",
+        ((F.col("profile_rows") <= PROFILE_POINTS) & (F.col("profile_n") == F.col("n_ref"))).alias("profile_bounded"),
+        (F.abs(F.col("near") - F.col("distance")) <= error).alias("distance_within"),
+    ))
+
+
 @query(
     "drift_report",
     "D5 D6 A19",

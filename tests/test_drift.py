@@ -49,6 +49,38 @@ def test_stored_profile_equals_raw_rows(spark):
     assert stored == D.ks_distance(D.feature_rows(a, ["x"]), D.feature_rows(b, ["x"])).first()
 
 
+def sizes(profile):
+    return {r.feature: (r.rows, r.n) for r in profile.groupBy("feature").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()}
+
+
+def test_bounded_profile_does_not_grow_with_the_rows(spark):
+    for rows in (3_001, 300_000):
+        df = spark.range(rows).select(F.rand(3).alias("x"), (F.col("id") % 5).alias("y"), F.lit(None).cast("double").alias("z"))
+        found = sizes(D.bounded_profile(df, ["x", "y", "z"], points=200))
+        assert found == {"x": (200, rows), "y": (5, rows)}
+
+
+def test_bounded_profile_of_few_rows_is_the_exact_one(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 1, 1, 2, 9, 9, -4]] + [(None,)], "x double").repartition(3)
+    assert sorted(D.bounded_profile(df, ["x"]).collect()) == sorted(D.reference_profile(df, ["x"]).collect())
+    assert D.bounded_profile(df.limit(0), ["x"]).count() == 0
+
+
+def test_bounded_profile_gives_the_distance_within_its_error(spark):
+    df = spark.range(200_000).select(
+        F.randn(1).alias("x"), F.exp(F.randn(2) * 2).alias("y"), F.when(F.rand(4) < 0.4, 0.0).otherwise(F.rand(5)).alias("z")
+    )
+    later = spark.range(20_000).select((F.randn(7) + 0.1).alias("x"), F.exp(F.randn(8)).alias("y"), F.rand(9).alias("z"))
+    features = ["x", "y", "z"]
+    cur = D.feature_rows(later, features)
+    exact = {r.feature: r.distance for r in D.ks_distance(D.feature_rows(df, features), cur).collect()}
+    for points, size in ((2048, 4096), (100, 400)):
+        near = D.ks_distance(D.bounded_profile(df, features, points, size), cur)
+        for r in near.collect():
+            assert r.n_ref == 200_000
+            assert r.distance == pytest.approx(exact[r.feature], abs=1 / points + D.sketch_rank_error(size))
+
+
 def test_finite_probability_published_value():
     """The value worked through in the paper that gives the matrix form."""
     assert 1 - D.finite_p_value(10, 0.274) == pytest.approx(0.6284796154565, abs=1e-12)
