@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml.feature import IDF, HashingTF, VectorAssembler
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,34 +15,122 @@ from modelyard.functions.scalars import cosine
 from modelyard.functions.text import terms
 from modelyard.operators.align import keyed_join
 from modelyard.operators.cumulative import running_totals
+from modelyard.session import scratch_path
+
+
+RANKS = "name string, category string, at double"
 
 
 def index_stages(strings: list[str], numbers: list[str], output: str = "features") -> list:
     """Indexer (frequent categories first, rows with an unseen or null category
     skipped) and assembler."""
     indexed = [f"{c}Index" for c in strings]
-    stages = []
-    if strings:
-        stages.append(StringIndexer(inputCols=strings, outputCols=indexed, handleInvalid="skip"))
+    stages = [TableIndexer(strings, indexed)] if strings else []
     return [*stages, VectorAssembler(inputCols=indexed + numbers, outputCol=output)]
 
 
+def category_counts(train: DataFrame, columns: list[str]) -> DataFrame:
+    """(name, category, n): rows of each category of each column, as text, without nulls."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("category")) for c in columns])
+    found = train.select(F.inline(pairs)).filter(F.col("category").isNotNull())
+    return found.groupBy("name", "category").agg(F.count("*").alias("n"))
+
+
+def category_ranks(counts: DataFrame) -> DataFrame:
+    """(name, category, at): 0 for a column's most frequent category, ties by name.
+
+    Categories are counted and ranked as tables, so there may be any number of
+    them: ranks are counts of the categories that come before, range by range.
+    """
+    order = F.struct((-F.col("n")).alias("n"), "category").alias("_order")
+    ranked = running_totals(counts.select("name", order, F.lit(1).cast("bigint").alias("n")), "_order", ["n"], ["name"])
+    return ranked.select("name", F.col("_order.category").alias("category"), (F.col("n_upto") - 1).cast("double").alias("at"))
+
+
+def with_indexes(df: DataFrame, ranks: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Each column's rank under a new name, for rows whose categories all have one.
+
+    The ranks are joined: Spark sends them to the tasks if they are small, and
+    otherwise brings rows and ranks together, splitting categories that many rows have.
+    """
+    for name, output in columns.items():
+        key = f"_category_of_{output}"
+        own = ranks.filter(F.col("name") == name).select(F.col("category").alias(key), F.col("at").alias(output))
+        df = df.withColumn(key, F.col(name).cast("string")).join(own, key).drop(key)
+    return df
+
+
 def index_categories(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
     """``<column>Index`` (frequent categories first, ties by name) for rows whose
-    categories all occur in the training rows.
+    categories all occur in the training rows."""
+    return with_indexes(df, category_ranks(category_counts(train, columns)), {c: f"{c}Index" for c in columns})
 
-    Categories are counted, ranked and joined as tables, so there may be any number
-    of them: ranks are counts of the categories that come before, range by range.
+
+class TableIndexer(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage of ``category_ranks``: the ranks are a table, never on the driver.
+
+    Rows with a null or unseen category are skipped. Output columns are marked as
+    nominal, so trees split them as categories.
     """
-    for name in columns:
-        counted = train.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("_category")).count()
-        order = F.struct((-F.col("count")).alias("n"), F.col("_category").alias("category"))
-        ranked = running_totals(
-            counted.select(order.alias("_order"), F.lit(1).cast("bigint").alias("n")), "_order", ["n"]
-        )
-        index = ranked.select(F.col("_order.category").alias(name), (F.col("n_upto") - 1).cast("double").alias(f"{name}Index"))
-        df = df.join(index, name)
-    return df
+
+    def __init__(self, inputCols: list[str] | None = None, outputCols: list[str] | None = None) -> None:
+        super().__init__()
+        self._set(inputCols=inputCols, outputCols=outputCols)
+
+    def _fit(self, df: DataFrame) -> TableIndexerModel:
+        path = scratch_path(df.sparkSession, "categories")
+        counts = category_counts(df, self.getInputCols())
+        counts.write.parquet(f"{path}/counts")
+        counts = df.sparkSession.read.schema(counts.schema).parquet(f"{path}/counts")
+        category_ranks(counts).write.partitionBy("name").parquet(f"{path}/ranks")
+        sizes = dict(counts.groupBy("name").count().collect())  # one row for each column
+        model = TableIndexerModel(f"{path}/ranks", [sizes.get(c, 0) for c in self.getInputCols()])
+        return self._copyValues(model)
+
+
+class TableIndexerModel(Model, HasInputCols, HasOutputCols, MLReadable, MLWritable):
+    """Ranks of categories at ``path``, and how many each column has; saved with the pipeline it is part of."""
+
+    def __init__(self, path: str = "", sizes: list[int] | None = None) -> None:
+        super().__init__()
+        self.path, self.sizes = path, sizes or []
+
+    def ranks(self, spark) -> DataFrame:
+        return spark.read.schema(RANKS).parquet(self.path)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        outputs = dict(zip(self.getInputCols(), self.getOutputCols()))
+        indexed = with_indexes(df, self.ranks(df.sparkSession), outputs)
+        for output, size in zip(self.getOutputCols(), self.sizes):
+            nominal = {"ml_attr": {"type": "nominal", "name": output, "num_vals": size}}
+            indexed = indexed.withMetadata(output, nominal)
+        return indexed
+
+    def write(self) -> MLWriter:
+        return _RanksWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _RanksReader()
+
+
+class _RanksWriter(MLWriter):
+    def __init__(self, model: TableIndexerModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata={"sizes": self.model.sizes})
+        self.model.ranks(self.sparkSession).write.partitionBy("name").parquet(f"{path}/ranks")
+
+
+class _RanksReader(MLReader):
+    def load(self, path: str) -> TableIndexerModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = TableIndexerModel(f"{path}/ranks", metadata["sizes"])
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
 
 
 @dataclass

@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def build_session(app_name: str = "modelyard", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -18,8 +16,6 @@ def build_session(app_name: str = "modelyard", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Conversation state lives on disk next to the executors, not in their heap.
-        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         **conf,
     }
     for key, value in settings.items():

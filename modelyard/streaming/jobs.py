@@ -29,24 +29,28 @@ def _start(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: st
 def stream_histories(
     messages: DataFrame, path: str, checkpoint: str, turns: int = SEGMENT_TURNS
 ) -> StreamingQuery:
-    """Keep conversation histories up to date as messages arrive.
+    """Add messages to conversation histories as they arrive.
 
-    State is kept per (conversation, segment), so it is bounded for each key and
-    one endless conversation is spread over many keys. Every batch writes the
-    segments it changed to a folder of its own, replaced if the batch is rerun.
+    The stream keeps no state, however many conversations there are and however long
+    they last: each batch writes its own messages, as parts of segments, to a folder
+    of its own, which a rerun of the batch replaces. A turn is written once, and a
+    late one joins its segment when that is read.
     """
 
-    def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    def write(arrived: DataFrame, batch: int) -> None:
+        histories(arrived, turns).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    return _start(histories(messages, turns), write, checkpoint, "update")
+    return _start(messages, write, checkpoint, "append")
 
 
 def current_histories(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of every segment written by ``stream_histories``."""
-    written = spark.read.parquet(path)
-    newest = F.max_by(F.struct("history", "n_turns"), "batch").alias("newest")
-    return written.groupBy("conv_id", "segment").agg(newest).select("conv_id", "segment", "newest.*")
+    """Every segment written by ``stream_histories``, put together from its parts.
+
+    A filter on conv_id or segment reaches the files, so one conversation is read without the others.
+    """
+    parts = spark.read.parquet(path)
+    whole = F.array_sort(F.flatten(F.collect_list("history"))).alias("history")
+    return parts.groupBy("conv_id", "segment").agg(whole, F.sum("n_turns").cast("int").alias("n_turns"))
 
 
 def stream_routes(messages: DataFrame, user: str, allowed: list, handler, path: str, checkpoint: str) -> StreamingQuery:

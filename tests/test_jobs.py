@@ -19,6 +19,7 @@ from modelyard.sources.predictions import PredictionTable
 from modelyard.sources.sinks import write_csv
 from modelyard.sources.tracking import Tracking
 from modelyard.streaming.jobs import arriving, current_histories, stream_histories, stream_routes, stream_scoring
+from tests.conftest import plan_of
 
 FLOWER = ["sepal_length", "petal_length"]
 
@@ -158,6 +159,32 @@ def test_streamed_histories_equal_batch(spark, folder, tmp_path):
     assert streamed.agg(F.sum("n_turns")).first()[0] == messages.count()
 
 
+def test_histories_keep_no_state_over_many_batches(spark, folder, tmp_path):
+    """Late and repeated turns, one file at a time: the batch result, and nothing kept between batches."""
+    messages = spark.read.parquet(f"{folder}/conversations.parquet")
+    messages = messages.unionAll(messages.filter("conv_id % 7 = 0")).filter("conv_id < 40")
+    for part in range(8):
+        few = messages.filter(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8)) == part)
+        few.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    stream = arriving(spark, str(tmp_path / "in"), messages.schema, files_per_batch=1)
+    query = stream_histories(stream, out, str(tmp_path / "cp"), turns=4)
+    query.awaitTermination()
+    batches = [p for p in query.recentProgress if p.numInputRows]
+    assert len(batches) == 8 and not any(p.stateOperators for p in batches)
+    assert spark.read.parquet(out).agg(F.sum("n_turns")).first()[0] == messages.count(), "every turn is written once"
+    streamed, whole = current_histories(spark, out), histories(messages, 4)
+    assert sorted(streamed.collect()) == sorted(whole.select(streamed.columns).collect())
+    assert "PushedFilters: [IsNotNull(conv_id), EqualTo(conv_id,7)]" in plan_of(streamed.filter("conv_id = 7"))
+
+
+def test_bounded_profile_in_a_job(spark, flowers, tmp_path):
+    job = training(spark, tmp_path, profile_points=4)
+    job.run(flowers)
+    profile = job.tracking.read("references").groupBy("feature").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    assert {(r.feature, r.rows <= 4, r.n) for r in profile.collect()} == {(f, True, 192) for f in FLOWER}
+
+
 def test_streamed_routes(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "user bigint, kind string")
     rows.write.parquet(str(tmp_path / "in"))

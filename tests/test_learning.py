@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from modelyard.operators import features as X
 from modelyard.operators import models as M
 from modelyard.operators import selection as S
+from modelyard.operators.models import save_and_load
 from modelyard.operators.regression import regression_metrics
 
 
@@ -154,3 +156,24 @@ def test_evaluators_agree_with_the_metrics(line):
     scored = line.withColumn("prediction", F.col("a") * 9.0)
     row, scores = regression_metrics(scored, "y", "prediction").first(), S.regression_scores(scored, "y")
     assert scores["rmse"] == pytest.approx(row.rmse) and scores["r2"] == pytest.approx(row.r2)
+
+
+def test_index_stage_is_a_table(spark, tmp_path):
+    """Ranks as MLlib's indexer gives them, nulls and unseen categories skipped, kept with the saved pipeline."""
+    rows = [("b", 1, 1.0), ("b", 2, 2.0), ("a", 2, 3.0), ("c", 1, 4.0), ("c", 3, 5.0), (None, 1, 6.0), ("a", None, 7.0)]
+    train = spark.createDataFrame(rows, "kind string, size int, x double")
+    stage = X.TableIndexer(["kind", "size"], ["k", "s"])
+    known = StringIndexer(inputCols=["kind", "size"], outputCols=["k", "s"], handleInvalid="skip").fit(train).transform(train)
+    model = Pipeline(stages=[stage, *X.index_stages([], ["k", "s", "x"])]).fit(train)
+    found = model.transform(train)
+    assert sorted(found.select("x", "k", "s").collect()) == sorted(known.select("x", "k", "s").collect())
+    assert found.columns == ["kind", "size", "x", "k", "s", "features"]
+    attributes = found.schema["features"].metadata["ml_attr"]["attrs"]
+    assert [(a["name"], a["num_vals"]) for a in attributes["nominal"]] == [("k", 3), ("s", 3)]
+    again = save_and_load(model, str(tmp_path / "saved"))
+    other = train.limit(0).unionAll(spark.createDataFrame([("a", 2, 0.0), ("new", 2, 1.0), ("c", 9, 2.0)], train.schema))
+    for m in (model, again):
+        assert [(r.x, r.k) for r in m.transform(other).collect()] == [(0.0, 0.0)]
+    assert again.stages[0].path.startswith(str(tmp_path / "saved"))
+    empty = stage.fit(train.limit(0))
+    assert empty.transform(train).count() == 0
