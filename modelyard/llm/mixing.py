@@ -72,30 +72,60 @@ def source_targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def placed(sized: DataFrame, targets: DataFrame, *keep: str) -> DataFrame:
-    """sid, bucket, place, start, size and ``keep``: each document's first word in its source's shuffled order.
+def dealt(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """The rows with their source's columns, the digest that they are ordered by and its bucket.
 
     A source is spread over buckets of the documents' digests, so that no task
-    orders more than about BUCKET_DOCS documents of it; buckets are put one
-    behind the other by their sums.
+    orders more than about BUCKET_DOCS documents of it.
     """
     sources = targets.select(F.col("source").alias("of"), "sid", "source_size", "target", F.ceil(F.col("n_docs") / BUCKET_DOCS).alias("n_buckets"))
     digest = F.md5(F.concat_ws(":", F.lit(str(SEED)), F.col("doc_id").cast("string")))
     spread = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long")
-    rows = (
-        sized.withColumn("digest", digest)
-        .join(sources, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("bucket", F.floor(spread * F.col("n_buckets") / (1 << 32)))
-    )
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
+    rows = sized.withColumn("digest", digest).join(sources, F.col("source").eqNullSafe(F.col("of")))
+    return rows.withColumn("bucket", F.floor(spread * F.col("n_buckets") / (1 << 32)))
+
+
+def bucket_offsets(rows: DataFrame, words: Column) -> DataFrame:
+    """sid, bucket, offset: the words in a source's earlier buckets, which come before this one."""
+    sums = rows.groupBy("sid", "bucket").agg(F.sum(words).alias("words"))
     earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("sid", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
+    return sums.select("sid", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
+
+
+def placed(sized: DataFrame, targets: DataFrame, *keep: str) -> DataFrame:
+    """sid, bucket, place, start, size and ``keep``: each document's first word in its source's shuffled order."""
+    rows = dealt(sized, targets)
+    offsets = bucket_offsets(rows, F.col("size"))
     order = Window.partitionBy("sid", "bucket").orderBy("digest", "doc_id", "size")
     inside = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumns({"place": F.row_number().over(order), "inside": inside}).join(offsets, ["sid", "bucket"])
     return rows.select("sid", "bucket", "place", (F.col("offset") + F.col("inside")).alias("start"), "size", "source_size", "target", *keep)
 
 
+def placed_sizes(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """As ``placed``, with doc_id, for rows of nothing but doc_id, source and size.
+
+    Rows that agree in these are interchangeable: they are ordered as one row with
+    their number, and numbered behind one another afterwards. So any number of
+    rows with one id, or none, leaves a bucket with a row for each of their sizes.
+    """
+    merged = sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies"))
+    rows = dealt(merged, targets)
+    words = F.col("size") * F.col("copies")
+    offsets = bucket_offsets(rows, words)
+    before = Window.partitionBy("sid", "bucket").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    first = {name: F.coalesce(F.sum(of).over(before), F.lit(0)) for name, of in (("place", F.col("copies")), ("inside", words))}
+    # Copies are written out in parts that may stand in any task.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / BUCKET_DOCS)))
+    parts = rows.withColumns(first).join(offsets, ["sid", "bucket"]).withColumn("part", part).repartition("sid", "bucket", "part")
+    from_copy, to_copy = F.col("part") * BUCKET_DOCS, F.least(F.col("copies"), (F.col("part") + 1) * BUCKET_DOCS) - 1
+    each = parts.withColumn("copy", F.explode(F.sequence(from_copy, to_copy)))
+    return each.select(
+        "sid", "bucket", (F.col("place") + F.col("copy") + 1).alias("place"),
+        (F.col("offset") + F.col("inside") + F.col("copy") * F.col("size")).alias("start"), "size", "source_size", "target", "doc_id",
+    )
+
+
 def schedule(targets: DataFrame) -> DataFrame:
     """slot, sid, rank, epoch, block: which block of which source stands at each slot of the mix.
 
@@ -168,7 +198,7 @@ def word_takes(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row; see op7_golden_mix."""
     sized = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
     targets = stored(source_targets(sized), "targets")
-    rows = stored(placed(sized, targets, "doc_id"), "placed")
+    rows = stored(placed_sizes(sized, targets), "placed")
     columns = ("doc_id", "size", "source_size", "target")
     return takes(rows, schedule(targets), *columns).select(*columns, "taken")
 

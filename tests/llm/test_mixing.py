@@ -1,7 +1,8 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from modelyard.llm.mixing import BLOCK, MOST, OP7_SQL, mixed, op7_golden_mix, schedule, source_targets, word_takes
+from modelyard.llm.mixing import BLOCK, MOST, OP7_SQL, mixed, op7_golden_mix, schedule, placed_sizes, source_targets, word_takes
 from tests.conftest import plan_of
 
 LONG = " ".join(f"w{i}" for i in range(3000))
@@ -69,6 +70,21 @@ def test_mixed_documents_hold_the_words_taken(docs):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_rows_without_an_id_or_with_one_id_are_ordered_as_few(spark, docs):
+    """A third of the rows has no id and a third one id; no window sees more than a row for each size."""
+    many = spark.range(18_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.repeat(F.lit("w "), (F.col("id") % 4).cast("int")).alias("text"), F.lit("hot").alias("source"), F.lit(1).cast("long").alias("n_chars"), F.lit("k").alias("size"),
+    )
+    assert sorted((tuple(r) for r in word_takes(docs.unionAll(many)).collect()), key=str) == sql_rows(docs.unionAll(many))
+    sized = many.select("doc_id", "source", (F.col("n_chars") * 2).alias("size"))
+    rows = placed_sizes(sized, source_targets(sized))
+    places = rows.groupBy("sid", "bucket").agg(F.count("*").alias("n"), F.countDistinct("place").alias("places"), F.max("place").alias("last"))
+    assert all(r.n == r.places == r.last for r in places.collect()) and rows.count() == 18_000
+    plan = plan_of(rows)
+    assert plan.index("Window") < plan.index("Window", plan.index("Window") + 1) < plan.rindex("partial_count(1)"), "rows are merged first"
+
+
 def test_empty_table(docs):
     assert word_takes(docs.limit(0)).count() == 0 and mixed(docs.limit(0)).count() == 0
 
