@@ -1,4 +1,5 @@
 import math
+from functools import partial
 
 import pytest
 from pyspark.ml import Pipeline
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from modelyard.operators import features as X
 from modelyard.operators import models as M
 from modelyard.operators import selection as S
+from modelyard.operators.cumulative import running_totals
 from modelyard.operators.models import save_and_load
 from modelyard.operators.regression import regression_metrics
 
@@ -38,7 +40,7 @@ def test_category_order_and_skipped_rows(spark):
 
 
 def test_any_number_of_categories_is_indexed(spark, monkeypatch):
-    monkeypatch.setattr("modelyard.operators.cumulative.TASK_ROWS", 10)
+    monkeypatch.setattr(X, "running_totals", partial(running_totals, task_rows=10))
     many = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") % 1500).alias("s"))
     found = {r.s: r.sIndex for r in X.index_categories(many, many, ["s"]).collect()}
     assert found == {s: float(i) for i, s in enumerate(sorted(found))} and len(found) == 1500
