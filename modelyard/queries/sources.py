@@ -15,6 +15,7 @@ from modelyard.sources.readers import (
     list_files,
     mime_type,
     read_artifacts,
+    read_binary,
     read_csv,
     read_source,
     select_all,
@@ -185,6 +186,26 @@ def image_payloads(spark, folder):
     )
 
 
+@query(
+    "binary_files",
+    "S11 S13",
+    """WITH files AS (SELECT c_custkey // 1000 AS block, encode(string_agg(coalesce(c_name, '') || chr(10), '' ORDER BY c_custkey, c_name)) AS content
+                      FROM customer GROUP BY 1)
+       SELECT block, octet_length(content)::BIGINT AS size, concat('data:image/png;base64,', base64(content)) AS url FROM files""",
+)
+def binary_files(spark, folder):
+    """Files of a thousand customers' names each, listed and read back as bytes."""
+    path = scratch_path(spark, "binary")
+    names = table(spark, folder, "customer").select(
+        F.floor(F.col("c_custkey") / 1000).alias("block"), "c_custkey", F.coalesce("c_name", F.lit("")).alias("value")
+    )
+    parted = names.repartition("block").sortWithinPartitions("block", "c_custkey", "value").select("block", "value")
+    parted.write.partitionBy("block").text(path)
+    files = read_binary(spark, path, "part-*").select("path", data_url(F.col("path"), F.col("content")).alias("url"))
+    block = F.regexp_extract("path", r"/block=(\d+)/", 1).cast("bigint").alias("block")
+    return list_files(spark, path, "part-*").join(files, "path").select(block, "size", "url")
+
+
 @query(
     "prompts_against_one_image",
     "J7",
