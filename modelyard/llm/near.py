@@ -31,8 +31,10 @@ BITS = 2
 LONGS = -(-REGISTERS // 64)
 _AGREE = THRESHOLD + (1 - THRESHOLD) / 2**BITS
 LEAST_AGREE = int(REGISTERS * _AGREE - 4 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
-# Texts of a hub that meet those of another block in one group.
-BLOCK = 256
+# Sketches of a hub that meet those of another block in one group.
+BLOCK = 2048
+# Pairs that one part of a text's pairs holds when they are measured.
+PART = 1024
 # Elements that a task draws arrivals for at once.
 AT_ONCE = 400_000
 
@@ -200,11 +202,6 @@ def measured(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     Only texts that some pair names are read on; ``sources`` has text_key and
     text of each distinct text once.
     """
-    named = pairs.select(F.explode(F.array("a", "b")).alias("text_key")).distinct()
-    known = sources.join(named, "text_key")
-    first = known.select(F.col("text_key").alias("a"), F.col("text").alias("text_a"))
-    second = known.select(F.col("text_key").alias("b"), F.col("text").alias("text_b"))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers, memory = WordNumbers(), {}
 
@@ -222,7 +219,22 @@ def measured(pairs: DataFrame, sources: DataFrame) -> DataFrame:
             ]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": np.array(found, dtype=float)})
 
-    return pairs.join(first, "a").join(second, "b").mapInPandas(run, "a binary, b binary, similarity double")
+    rows = with_text(with_text(pairs.select("a", "b"), sources, "a", "b"), sources, "b", "a")
+    return rows.mapInPandas(run, "a binary, b binary, similarity double")
+
+
+def with_text(pairs: DataFrame, sources: DataFrame, side: str, other: str) -> DataFrame:
+    """The pairs with the text of one side as text_<side>.
+
+    The pairs of a text are dealt into parts of about PART, and the text goes to
+    each of them, so that a hub's pairs spread over many tasks.
+    """
+    parts = pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    known = sources.withColumnRenamed("text_key", side).join(parts, side).select(side, F.col("text").alias(f"text_{side}"), each)
+    many = parts.filter("parts > 1")
+    part = F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1).cast("long"))).alias("part")
+    return pairs.join(many, side, "left").select(*pairs.columns, part).join(known, [side, "part"]).drop("part")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,7 +276,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     First each text meets, in each of its buckets, the bucket's hub, the text
     with most neighbours; what is not connected then meets the other texts of
-    its hubs that its registers leave possible. A null text reads as empty;
+    its hubs that its registers leave possible: first the likeliest pair of each
+    two classes so far, then all pairs between classes that are still apart.
+    Sketches find these pairs, and only the texts of pairs are read. A text of
+    any length is one set; a task holds the sets of a few hundred texts. A null text reads as empty;
     texts without words are linked by exact copy only. Null doc_ids are kept (a
     class of nothing else has a null class_id), repeated rows are rows of their
     own, an empty table gives no rows, other columns are not read.
@@ -286,9 +301,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     firsts = nodes.filter("bands IS NOT NULL").select("text_key", "least_id")
     pairs = met.filter("text_key <> hub").select(F.col("text_key").alias("a"), F.col("hub").alias("b")).distinct()
     busy = met.select("text_key").distinct()
-    sources = sources.join(firsts.join(busy, "text_key", "left_semi").withColumnRenamed("least_id", "of"), "text_key")
-    sources = sources.filter(F.col("least_id").eqNullSafe(F.col("of"))).dropDuplicates(["text_key"]).select("text_key", "text")
-    sources = stored(sources, "texts")
+    # The id is part of the join's key, so that the copies of one text do not meet in one task.
+    firsts = firsts.join(busy, "text_key", "left_semi").select(F.col("text_key").alias("key"), F.col("least_id").alias("of"))
+    sources = sources.join(firsts, (F.col("text_key") == F.col("key")) & F.col("least_id").eqNullSafe(F.col("of")))
+    sources = stored(sources.dropDuplicates(["text_key"]).select("text_key", "text"), "texts")
     near = stored(measured(pairs, sources), "similar")
     links = near.filter(F.col("similarity") >= THRESHOLD).select("a", "b")
     roots = stored(components(links), "roots")
@@ -301,11 +317,19 @@ def near_classes(docs: DataFrame) -> DataFrame:
     apart = apart.select("hub", "text_key", "root").distinct()
     to_hub = near.select(F.col("a").alias("text_key"), F.col("b").alias("hub"), "similarity")
     apart = apart.join(to_hub, ["text_key", "hub"]).join(nodes.select("text_key", "bits"), "text_key")
-    all_links = links.union(stored(further_links(stored(apart, "apart"), sources), "links"))
-    roots = stored(components(all_links), "roots")
+    apart = stored(apart, "apart")
+    likeliest = stored(candidates(apart, True), "likeliest")
+    first_links = found_links(likeliest, sources)
+    joined = stored(components(root_links(first_links)), "roots")
+    rest = candidates(renamed_roots(apart, joined), False).join(likeliest, ["a", "b"], "left_anti")
+    rest_links = found_links(stored(rest, "candidates"), sources)
+    rejoined = stored(components(root_links(rest_links)), "roots")
+    ends = ("a", "b")
+    all_links = links.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+    all_links = all_links.union(first_links.select(*ends)).union(rest_links.select(*ends))
     degree = all_links.select(F.explode(F.array("a", "b")).alias("text_key")).groupBy("text_key").agg(F.count(F.lit(1)).alias("links"))
     named = nodes.select("text_key", "least_id", "copies").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
-    named = named.withColumn("root", F.coalesce("root", "text_key"))
+    named = renamed_roots(renamed_roots(named.withColumn("root", F.coalesce("root", "text_key")), joined), rejoined)
     ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     classes = stored(named.join(ids, "root").join(degree, "text_key", "left").select("text_key", "root", "class_id", "copies", "links"), "classes")
     return (
@@ -315,59 +339,69 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def further_links(apart: DataFrame, sources: DataFrame) -> DataFrame:
-    """a, b: links that join texts of one hub and different roots, enough to connect what is similar.
+def found_links(pairs: DataFrame, sources: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (a, b, root_a, root_b) whose similarity is high enough."""
+    similar = measured(pairs, sources).filter(F.col("similarity") >= THRESHOLD).select("a", "b")
+    return stored(pairs.join(similar, ["a", "b"], "left_semi"), "links")
+
+
+def root_links(links: DataFrame) -> DataFrame:
+    return links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+
+
+def renamed_roots(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows with their root's root, where ``joined`` (node, root) has one."""
+    newer = joined.select(F.col("node").alias("root"), F.col("root").alias("newer"))
+    return rows.join(newer, "root", "left").withColumn("root", F.coalesce("newer", "root")).drop("newer")
+
+
+def candidates(apart: DataFrame, likeliest: bool) -> DataFrame:
+    """a, b, root_a, root_b: pairs of one hub and different roots that may be similar, each once, a below b.
 
-    ``apart`` has hub, text_key, root, similarity (to the hub), bits. A hub's texts are
-    dealt into blocks of about BLOCK, and each pair of blocks is one group, so that
-    no group grows with the hub; pairs are compared inside the group, the likeliest
-    first, and those already connected there are left out.
+    ``apart`` has hub, text_key, root, similarity (to the hub), bits. A hub's sketches
+    are dealt into blocks of about BLOCK, and each pair of blocks is one group, so that
+    no group grows with the hub. ``likeliest`` keeps one pair of each two roots: the
+    one whose registers differ least.
     """
-    sizes = apart.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter(F.col("blocks") > 0)
-    rows = apart.join(sizes, "hub").join(sources, "text_key").withColumn("own", F.pmod(F.xxhash64("text_key"), F.col("blocks")))
+    sizes = apart.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    rows = apart.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("text_key"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks")
 
-    def link(frame: pd.DataFrame) -> pd.DataFrame:
+    def find(frame: pd.DataFrame) -> pd.DataFrame:
         low, high = frame["low"].iloc[0], frame["high"].iloc[0]
         frame = frame.sort_values("text_key")
         own = frame["own"].to_numpy()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         bits = np.stack(frame["bits"]).view(U)
         near_hub, names = frame["similarity"].to_numpy(), pd.factorize(frame["root"])[0]
-        found = []
+        one, two, unlike = [], [], []
         for i in left:
             others = right[right > i] if low == high else right
             # The distance 1 - similarity is a metric, so distances to the hub bound this one.
             others = others[(names[others] != names[i]) & (np.abs(near_hub[others] - near_hub[i]) <= 1 - THRESHOLD + 1e-9)]
-            unlike = np.bitwise_or.reduce((bits[others] ^ bits[i]).reshape(-1, BITS, LONGS), axis=1)
-            differ = np.bitwise_count(unlike).sum(axis=1).astype(int)
+            either = np.bitwise_or.reduce((bits[others] ^ bits[i]).reshape(-1, BITS, LONGS), axis=1)
+            differ = np.bitwise_count(either).sum(axis=1).astype(int)
             keep = differ <= REGISTERS - LEAST_AGREE
-            found += zip(differ[keep].tolist(), [int(i)] * int(keep.sum()), others[keep].tolist())
-        numbers, texts_, keys = WordNumbers(), frame["text"].tolist(), frame["text_key"].tolist()
-        memory: dict[int, tuple] = {}
-        root = list(range(int(names.max()) + 1))
-        out = []
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        def elements(i: int) -> tuple:
-            if i not in memory:
-                memory[i] = shingles(texts_[i], numbers)
-            return memory[i]
-
-        for _, i, j in sorted(found):
-            one, two = top(names[i]), top(names[j])
-            if one != two and probability_jaccard(elements(i), elements(j)) >= THRESHOLD:
-                root[two] = one
-                out.append((keys[i], keys[j]))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return rows.groupBy("hub", "low", "high").applyInPandas(link, "a binary, b binary")
+            one.append(np.full(int(keep.sum()), i))
+            two.append(others[keep])
+            unlike.append(differ[keep])
+        one, two, unlike = (np.concatenate([np.empty(0, dtype=int), *x]) for x in (one, two, unlike))
+        one, two = np.minimum(one, two), np.maximum(one, two)  # in the order of text_key
+        if likeliest:
+            ends = np.sort(np.stack([names[one], names[two]]), axis=0)
+            first = pd.DataFrame({"x": ends[0], "y": ends[1], "differ": unlike}).sort_values("differ", kind="stable")
+            kept = first.drop_duplicates(["x", "y"]).index.to_numpy()
+            one, two, unlike = one[kept], two[kept], unlike[kept]
+        keys, root = frame["text_key"].to_numpy(), frame["root"].to_numpy()
+        return pd.DataFrame({"a": keys[one], "b": keys[two], "root_a": root[one], "root_b": root[two], "differ": unlike})
+
+    found = rows.groupBy("hub", "low", "high").applyInPandas(find, "a binary, b binary, root_a binary, root_b binary, differ int")
+    if likeliest:
+        least, most = F.least("root_a", "root_b").alias("low"), F.greatest("root_a", "root_b").alias("high")
+        best = F.min(F.struct("differ", "a", "b", "root_a", "root_b")).alias("best")
+        return found.groupBy(least, most).agg(best).select("best.a", "best.b", "best.root_a", "best.root_b")
+    return found.drop("differ").distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
