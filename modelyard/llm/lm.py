@@ -49,9 +49,9 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
-def bucket_starts(buckets: int) -> np.ndarray:
-    """The first key of each range."""
-    return np.array([(i << 64) // buckets for i in range(buckets)], dtype=U)
+def range_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The range of each key, by its upper half; fewer than 2^32 ranges of about equal width."""
+    return ((keys >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
 class NGrams:
@@ -89,9 +89,10 @@ def _requests(buckets: int):
             keys, place = grams.keys[size], grams.place[size]
             rest = np.bincount(place[part == REST], minlength=len(keys))
             whole = rest + np.bincount(place[part == LEARN], minlength=len(keys))
-            edges = np.append(np.searchsorted(keys, bucket_starts(buckets)), len(keys))
-            for bucket in np.flatnonzero(np.diff(edges)):
-                cut = slice(edges[bucket], edges[bucket + 1])
+            of = range_of(keys, buckets)
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            for start, end in zip(starts, np.append(starts[1:], len(keys))):
+                bucket, cut = of[start], slice(start, end)
                 steps = np.diff(keys[cut], prepend=U(0))
                 out.append((bucket, frame["block"].iloc[0], size, packed(steps), packed(rest[cut]), packed(whole[cut])))
         return pd.DataFrame(out, columns=["bucket", "block", "size", "keys", "rest", "whole"])

@@ -373,18 +373,23 @@ def candidates(apart: DataFrame, likeliest: bool) -> DataFrame:
         frame = frame.sort_values("text_key")
         own = frame["own"].to_numpy()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        bits = np.stack(frame["bits"]).view(U)
+        # A row for each long, so that a text meets all others in whole rows.
+        bits = np.ascontiguousarray(np.stack(frame["bits"]).view(U).T)
+        firsts, seconds = bits[:LONGS], bits[LONGS:]
+        facing = np.ascontiguousarray(bits[:, right])
         near_hub, names = frame["similarity"].to_numpy(), pd.factorize(frame["root"])[0]
         one, two, unlike = [], [], []
         for i in left:
-            others = right[right > i] if low == high else right
+            differ = np.zeros(len(right), dtype=np.int32)
+            for x, y, mine, yours in zip(facing[:LONGS], facing[LONGS:], firsts[:, i], seconds[:, i]):
+                differ += np.bitwise_count((x ^ mine) | (y ^ yours))
+            keep = (differ <= REGISTERS - LEAST_AGREE) & (names[right] != names[i])
+            if low == high:
+                keep &= right > i
             # The distance 1 - similarity is a metric, so distances to the hub bound this one.
-            others = others[(names[others] != names[i]) & (np.abs(near_hub[others] - near_hub[i]) <= 1 - THRESHOLD + 1e-9)]
-            either = np.bitwise_or.reduce((bits[others] ^ bits[i]).reshape(-1, BITS, LONGS), axis=1)
-            differ = np.bitwise_count(either).sum(axis=1).astype(int)
-            keep = differ <= REGISTERS - LEAST_AGREE
+            keep &= np.abs(near_hub[right] - near_hub[i]) <= 1 - THRESHOLD + 1e-9
             one.append(np.full(int(keep.sum()), i))
-            two.append(others[keep])
+            two.append(right[keep])
             unlike.append(differ[keep])
         one, two, unlike = (np.concatenate([np.empty(0, dtype=int), *x]) for x in (one, two, unlike))
         one, two = np.minimum(one, two), np.maximum(one, two)  # in the order of text_key
