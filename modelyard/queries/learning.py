@@ -320,7 +320,34 @@ def table_lab_metrics(spark, folder):
     return rounded(metrics, 4)
 
 
-@query("evaluator_scores", "M20")
+# The line by its normal equations: covariances of the training rows, solved by determinants.
+LINE_SCORES = """
+WITH l AS (
+  SELECT l_quantity::DOUBLE AS x, l_discount::DOUBLE AS y, l_tax::DOUBLE AS z, l_extendedprice::DOUBLE AS p,
+    substr(md5(concat_ws(':', '42', l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_partkey::VARCHAR, l_suppkey::VARCHAR)), 1, 8)
+      < '33333333' AS held_out
+  FROM lineitem
+), m AS (
+  SELECT covar_pop(x, x) AS xx, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz, covar_pop(y, y) AS yy, covar_pop(y, z) AS yz,
+    covar_pop(z, z) AS zz, covar_pop(x, p) AS xp, covar_pop(y, p) AS yp, covar_pop(z, p) AS zp,
+    avg(x) AS mx, avg(y) AS my, avg(z) AS mz, avg(p) AS mp
+  FROM l WHERE NOT held_out
+), d AS (
+  SELECT *, xx * (yy * zz - yz * yz) - xy * (xy * zz - yz * xz) + xz * (xy * yz - yy * xz) AS det FROM m
+), b AS (
+  SELECT mx, my, mz, mp,
+    (xp * (yy * zz - yz * yz) - xy * (yp * zz - yz * zp) + xz * (yp * yz - yy * zp)) / det AS bx,
+    (xx * (yp * zz - yz * zp) - xp * (xy * zz - yz * xz) + xz * (xy * zp - yp * xz)) / det AS by_,
+    (xx * (yy * zp - yp * yz) - xy * (xy * zp - yp * xz) + xp * (xy * yz - yy * xz)) / det AS bz
+  FROM d
+), e AS (
+  SELECT p, p - mp - bx * (x - mx) - by_ * (y - my) - bz * (z - mz) AS err FROM l, b WHERE held_out
+)
+SELECT round(sqrt(avg(err * err)), 4) AS rmse, round(1 - sum(err * err) / (count(*) * var_pop(p)), 4) AS r2 FROM e
+"""
+
+
+@query("evaluator_scores", "M20", LINE_SCORES)
 def evaluator_scores(spark, folder):
     train, test = line_split(spark, folder)
     model = assembled(LINE_FEATURES, scaled_linear("l_extendedprice")).fit(train)
