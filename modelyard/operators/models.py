@@ -165,6 +165,19 @@ def split_counts(spark: SparkSession, model: Transformer, features: list[str], p
     return _counted(names, used)
 
 
+def tree_splits(spark: SparkSession, model: Transformer, features: list[str], path: str) -> DataFrame:
+    """node, feature, threshold, gain: the numeric splits of a decision tree, read from its saved nodes; the root is node 0."""
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    last.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    nodes = nodes.select("nodeData.*") if "nodeData" in nodes.columns else nodes
+    feature = F.element_at(F.array(*map(F.lit, features)), F.col("split.featureIndex") + 1)
+    threshold = F.get("split.leftCategoriesOrThreshold", F.lit(0))
+    return nodes.filter("split.featureIndex >= 0").select(
+        F.col("id").alias("node"), feature.alias("feature"), threshold.alias("threshold"), "gain"
+    )
+
+
 def _counted(names: DataFrame, used: DataFrame) -> DataFrame:
     return names.join(used, "position", "left").select(
         "feature", F.coalesce("splits", F.lit(0)).cast("bigint").alias("splits")

@@ -27,6 +27,7 @@ from modelyard.operators.models import (
     save_and_load,
     scaled_linear,
     split_counts,
+    tree_splits,
 )
 from modelyard.operators.selection import fold_scores, regression_scores, search_results
 from modelyard.operators.splits import hash_split
@@ -279,6 +280,48 @@ def classifier_accuracies(spark, folder):
     return rounded(scored)
 
 
+def dear_lines(spark, folder) -> DataFrame:
+    bulky = F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0)
+    dear = F.when(F.col("l_extendedprice") > 2000 * F.col("l_quantity"), 1.0).otherwise(0.0)
+    return lines(spark, folder).select(*LINE_FEATURES, bulky.alias("bulky"), dear.alias("dear"))
+
+
+def _first_split(label: str) -> str:
+    """SQL for the root of a decision tree: the cut between neighbouring values that lowers the Gini impurity most."""
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, {i} AS place, {f}::DOUBLE AS value, {label} AS y FROM lineitem" for i, f in enumerate(LINE_FEATURES))
+    return f"""WITH x AS ({long}), v AS (SELECT feature, place, value, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS k FROM x GROUP BY ALL),
+        c AS (SELECT *, lead(value) OVER w AS next, sum(n) OVER w AS nl, sum(k) OVER w AS kl, sum(n) OVER p AS na, sum(k) OVER p AS ka
+              FROM v WINDOW w AS (PARTITION BY feature ORDER BY value), p AS (PARTITION BY feature)),
+        g AS (SELECT *, 2 * (ka / na) * (1 - ka / na) - nl / na * 2 * (kl / nl) * (1 - kl / nl)
+                - (na - nl) / na * 2 * ((ka - kl) / (na - nl)) * (1 - (ka - kl) / (na - nl)) AS gain FROM c WHERE next IS NOT NULL)
+        SELECT feature, round((value + next) / 2, 6) AS threshold, round(gain, 9) AS gain FROM g ORDER BY gain DESC, place, value LIMIT 1"""
+
+
+@query("tree_first_split", "M11 M12 M14", _first_split("CASE WHEN l_extendedprice > 2000 * l_quantity THEN 1 ELSE 0 END"))
+def tree_first_split(spark, folder):
+    """A tree of depth 1, as the depth sweep starts with, on bins as fine as the values."""
+    tree = assembled(LINE_FEATURES, [classifier("decision_tree", "dear", maxDepth=1, maxBins=64)])
+    fitted = tree.fit(dear_lines(spark, folder))
+    splits = tree_splits(spark, fitted, LINE_FEATURES, scratch_path(spark, "tree")).filter("node = 0")
+    return splits.select("feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 9).alias("gain"))
+
+
+@query(
+    "logistic_log_odds",
+    "M9 M14",
+    """WITH o AS (SELECT l_quantity > 25 AS bulky, count(*) FILTER (l_extendedprice > 2000 * l_quantity) / count(*) FILTER (l_extendedprice <= 2000 * l_quantity) AS odds
+                  FROM lineitem GROUP BY 1)
+       SELECT round(ln(max(odds) FILTER (bulky)) - ln(max(odds) FILTER (NOT bulky)), 4) AS slope,
+              round(ln(max(odds) FILTER (NOT bulky)), 4) AS intercept FROM o""",
+)
+def logistic_log_odds(spark, folder):
+    """With one feature of two values, logistic regression finds the log odds of each."""
+    model = assembled(["bulky"], [classifier("logistic_regression", "dear", tol=1e-7)])
+    fitted = model.fit(dear_lines(spark, folder)).stages[-1]
+    row = (float(fitted.coefficients[0]), float(fitted.intercept))
+    return rounded(spark.createDataFrame([row], "slope double, intercept double"), 4)
+
+
 @query("depth_sweep", "M11 M12")
 def depth_sweep_(spark, folder):
     train, test = hash_split(labelled_vectors(spark, folder), ["vec_id"])
