@@ -245,6 +245,8 @@ def components(links: DataFrame) -> DataFrame:
     shuffle and neighbours are joined, never gathered, so a hub of any degree is fine.
     """
     links = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     seen = None
     while True:
         both = links.union(links.select("b", "a"))
