@@ -20,7 +20,7 @@ from .common import per_text, table
 
 # The phrases that always count, with their labels.
 PHRASES = {
-    "general public license": "gpl",
+    "gnu general public license": "gpl",
     "apache license": "apache",
     "cc by": "cc-by",
     "mit license": "mit",

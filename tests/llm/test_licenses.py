@@ -135,3 +135,10 @@ def test_query_equals_brute_force(spark, folder):
         assert (r.first_word, r.last_word) == ((min(at), max(at)) if at else (None, None))
         assert r.base_labels == ",".join(sorted({x for _, x in want}))
         assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+
+
+def test_general_public_license_needs_its_gnu(spark, tmp_path):
+    rows = [(1, "the GNU General Public License"), (2, "a general public license, gnu"), (3, "GNU Lesser General Public License")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in op9_license_chains(spark, str(tmp_path)).collect()}
+    assert found == {1: (5, 1, 1, 1, "gpl"), 2: (5, 0, None, None, ""), 3: (5, 0, None, None, "")}
