@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
@@ -15,23 +17,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GAMMA, SIZE = 0.001, 256
+# Vectors that a task holds the features of at once.
+AT_ONCE = 512
+
+
+def in_pieces(batch: pd.Series, directions: np.ndarray) -> Iterator[pd.Series]:
+    """The features of the vectors of a batch, AT_ONCE vectors at a time; a null vector has none."""
+    for start in range(0, len(batch), AT_ONCE):
+        vectors = batch.iloc[start : start + AT_ONCE]
+        there = vectors.notna().to_numpy()
+        out: list[np.ndarray | None] = [None] * len(vectors)
+        if there.any():
+            angles = np.stack(vectors[there]).astype(float) @ directions.T
+            found = np.hstack([np.cos(angles), np.sin(angles)]) * (1.0 / len(directions)) ** 0.5
+            for at, line in zip(np.flatnonzero(there), found):
+                out[at] = line
+        yield pd.Series(out, dtype=object)
 
 
 def fourier_features(vector: Column, dimensions: int, gamma: float = GAMMA, size: int = SIZE, seed: int = 42) -> Column:
     """Array of ``size`` values (null for a null vector) whose dot product with those of another vector
-    estimates exp(-gamma * squared distance), with a standard error of at most 1 / sqrt(size)."""
+    estimates exp(-gamma * squared distance), with a standard error of at most 1 / sqrt(size).
+
+    Batches leave the task in pieces, so what its Python holds does not depend on how many rows Spark sends at once."""
     directions = np.random.default_rng(seed).normal(0.0, (2 * gamma) ** 0.5, (size // 2, dimensions))
 
     @F.pandas_udf("array<double>")
-    def waves(vectors: pd.Series) -> pd.Series:
-        there = vectors.notna().to_numpy()
-        out: list[list[float] | None] = [None] * len(vectors)
-        if there.any():
-            angles = np.stack(vectors[there]).astype(float) @ directions.T
-            found = np.hstack([np.cos(angles), np.sin(angles)]) * (2.0 / size) ** 0.5
-            for at, line in zip(np.flatnonzero(there), found.tolist()):
-                out[at] = line
-        return pd.Series(out, dtype=object)
+    def waves(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield from in_pieces(batch, directions)
 
     return waves(vector)
 

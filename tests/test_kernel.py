@@ -1,12 +1,13 @@
 """The kernel estimate, and classes that only a kernel tells apart."""
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from modelyard.operators.classification import accuracy
-from modelyard.operators.kernel import fourier_features, kernel_svm
+from modelyard.operators.kernel import AT_ONCE, fourier_features, in_pieces, kernel_svm
 from modelyard.operators.models import classifier
 
 
@@ -32,3 +33,18 @@ def test_rings(spark, tmp_path):
     model = Pipeline(stages=[kernel_svm("label", gamma=0.5, size=32, maxIter=2)]).fit(df)
     model.write().overwrite().save(path)
     assert share(PipelineModel.load(path)) == share(model)
+
+
+def test_batches_leave_in_pieces(spark):
+    """A large batch never has all its features at once, and its nulls stay in their places."""
+    x = np.random.default_rng(5).normal(size=(3 * AT_ONCE + 5, 4))
+    batch = pd.Series([None if i % 700 == 3 else r for i, r in enumerate(x)], dtype=object)
+    directions = np.random.default_rng(6).normal(size=(8, 4))
+    pieces = list(in_pieces(batch, directions))
+    assert [len(p) for p in pieces] == [AT_ONCE] * 3 + [5]
+    for v, z in zip(batch, pd.concat(pieces)):
+        assert z is None if v is None else np.allclose(z, np.hstack([np.cos(directions @ v), np.sin(directions @ v)]) / 8**0.5)
+    rows = [(i, None if v is None else v.tolist()) for i, v in enumerate(batch)]
+    df = spark.createDataFrame(rows, "id long, x array<double>").coalesce(1).withColumn("z", fourier_features(F.col("x"), 4, 0.2, 16))
+    found = df.agg(F.count("*").alias("n"), F.count_if(F.col("x").isNull() != F.col("z").isNull()).alias("odd"), F.min(F.size("z")).alias("size")).first()
+    assert found == (len(batch), 0, 16)
