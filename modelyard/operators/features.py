@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from modelyard.functions.scalars import cosine
 from modelyard.functions.text import terms
-from modelyard.operators.align import keyed_join
 from modelyard.operators.cumulative import running_totals
 from modelyard.session import scratch_path
 
 
 RANKS = "name string, category string, at double"
+# Text that one task counts the terms of.
+PART_BYTES = 1 << 24
 
 
 def index_stages(strings: list[str], numbers: list[str], output: str = "features") -> list:
@@ -187,21 +188,26 @@ def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, weight): term count times ln((1 + n) / (1 + documents with the
     term)) + 1, scaled so that each document's weights have length 1.
 
-    Counting merges copies before the shuffle. A term found in many documents is
-    spread by ``keyed_join``. A document's terms come
-    together in one row, which its text already was.
+    Texts are dealt by key, so that a document is counted where it lies. What travels
+    to the terms' frequencies and back is one row for each term of a dealt part, with
+    the documents of that part that have it, not one row for each document and term. A
+    document's terms come together in one row, which its text already was.
     """
-    documents = df.agg(F.count("*")).scalar()
-    counted = df.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(
+    documents, size = df.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    parts = max(1, -(-(size or 0) // PART_BYTES))
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part")
+    dealt = df.select(part, key, F.col(text).alias("_text")).repartitionById(parts, "_part")
+    counted = dealt.select("_part", key, F.explode(terms(F.col("_text"))).alias("term")).groupBy("_part", key, "term").agg(
         F.count("*").alias("_n")
     )
-    rarity = counted.groupBy("term").agg(F.count("*").alias("_in")).withColumn(
-        "_idf", F.ln((1 + documents) / (1 + F.col("_in"))) + 1
+    found = counted.groupBy("_part", "term").agg(F.collect_list(F.struct(F.col(key).alias("_key"), "_n")).alias("_found"))
+    rarity = counted.groupBy("_part", "term").agg(F.count("*").alias("_in")).groupBy("term").agg(F.sum("_in").alias("_in"))
+    rarity = rarity.select("term", (F.ln((1 + documents) / (1 + F.col("_in"))) + 1).alias("_idf"))
+    back = found.join(rarity, "term").select("_part", "term", "_idf", "_found").repartitionById(parts, "_part")
+    weighted = back.select("_part", "term", "_idf", F.inline("_found")).select(
+        "_part", F.col("_key").alias(key), "term", (F.col("_n") * F.col("_idf")).alias("weight")
     )
-    weighted = keyed_join(counted, rarity.select("term", "_idf"), "term", spread=F.xxhash64(key)).select(
-        key, "term", (F.col("_n") * F.col("_idf")).alias("weight")
-    )
-    gathered = weighted.groupBy(key).agg(
+    gathered = weighted.groupBy("_part", key).agg(
         F.collect_list(F.struct("term", "weight")).alias("_terms"),
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"),
     )

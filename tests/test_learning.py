@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 from functools import partial
 
 import pytest
@@ -15,6 +16,7 @@ from modelyard.operators import selection as S
 from modelyard.operators.cumulative import running_totals
 from modelyard.operators.models import save_and_load
 from modelyard.operators.regression import regression_metrics
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +77,26 @@ def test_term_weights(spark):
     assert sizes == [2, 2, 0]
 
 
+def test_term_weights_of_many_parts(spark, monkeypatch):
+    """Keys may repeat or be null; no row for each document and term travels, only one for each part and term."""
+    monkeypatch.setattr(X, "PART_BYTES", 40)
+    rows = [(i if i % 5 else None, f"all w{i % 7} w{i % 7} x{i}") for i in range(60)] + [(7, "all again"), (8, None), (99, "")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    weights = X.term_weights(df, "id", "t")
+    assert "hashpartitioning(id" not in plan_of(weights)
+    counts: dict = {}
+    for key, text in rows:
+        for term in (text or "").split():
+            counts.setdefault(key, Counter())[term] += 1
+    inside = Counter(term for found in counts.values() for term in found)
+    want = {}
+    for key, found in counts.items():
+        raw = {t: n * (math.log((1 + len(rows)) / (1 + inside[t])) + 1) for t, n in found.items()}
+        want |= {(key, t): w / math.hypot(*raw.values()) for t, w in raw.items()}
+    got = weights.collect()
+    assert len(got) == len(want) and {(r.id, r.term): r.weight for r in got} == pytest.approx(want)
+
+
 def test_compared_regressors_beat_the_mean(spark, line):
     models = {
         "linear": M.assembled(FEATURES, M.scaled_linear("y")),
