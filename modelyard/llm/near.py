@@ -31,8 +31,8 @@ BITS = 2
 LONGS = -(-REGISTERS // 64)
 _AGREE = THRESHOLD + (1 - THRESHOLD) / 2**BITS
 LEAST_AGREE = int(REGISTERS * _AGREE - 4 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
-# Sketches of a hub that meet those of another block in one group.
-BLOCK = 2048
+# Texts of a hub, and their bytes, that meet those of another block in one group.
+BLOCK, BLOCK_BYTES = 1024, 1 << 24
 # Pairs that one part of a text's pairs holds when they are measured.
 PART = 1024
 # Elements that a task draws arrivals for at once.
@@ -274,14 +274,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
     copies and by links of probability Jaccard similarity THRESHOLD or more;
     copies counts the rows with the very same text, links the
     different texts that it was linked with on the way (texts that are connected
-    already are not compared again).
+    already need no further link and are not compared again).
 
     First each text meets, in each of its buckets, the bucket's hub, the text
     with most neighbours; what is not connected then meets the other texts of
-    its hubs that its registers leave possible: first the likeliest pair of each
-    two classes so far, then all pairs between classes that are still apart.
-    Sketches find these pairs, and only the texts of pairs are read. A text of
-    any length is one set; a task holds the sets of a few hundred texts. A null text reads as empty;
+    its hubs that its registers leave possible, likeliest first, until all pairs
+    are measured or connected. These pairs are measured where their texts meet, block
+    by block, and never are rows of their own: only links leave. A text of
+    any length is one set; a task holds the sets of two blocks of texts. A null text reads as empty;
     texts without words are linked by exact copy only. Null doc_ids are kept (a
     class of nothing else has a null class_id), repeated rows are rows of their
     own, an empty table gives no rows, other columns are not read.
@@ -319,19 +319,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
     apart = apart.select("hub", "text_key", "root").distinct()
     to_hub = near.select(F.col("a").alias("text_key"), F.col("b").alias("hub"), "similarity")
     apart = apart.join(to_hub, ["text_key", "hub"]).join(nodes.select("text_key", "bits"), "text_key")
-    apart = stored(apart, "apart")
-    likeliest = stored(candidates(apart, True), "likeliest")
-    first_links = found_links(likeliest, sources)
-    joined = stored(components(root_links(first_links)), "roots")
-    rest = candidates(renamed_roots(apart, joined), False).join(likeliest, ["a", "b"], "left_anti")
-    rest_links = found_links(stored(rest, "candidates"), sources)
-    rejoined = stored(components(root_links(rest_links)), "roots")
+    rest_links = stored(joining_links(apart.join(sources, "text_key")), "links")
+    joined = stored(components(root_links(rest_links)), "roots")
     ends = ("a", "b")
     all_links = links.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
-    all_links = all_links.union(first_links.select(*ends)).union(rest_links.select(*ends))
+    all_links = all_links.union(rest_links.select(*ends))
     degree = all_links.select(F.explode(F.array("a", "b")).alias("text_key")).groupBy("text_key").agg(F.count(F.lit(1)).alias("links"))
     named = nodes.select("text_key", "least_id", "copies").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
-    named = renamed_roots(renamed_roots(named.withColumn("root", F.coalesce("root", "text_key")), joined), rejoined)
+    named = renamed_roots(named.withColumn("root", F.coalesce("root", "text_key")), joined)
     ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     classes = stored(named.join(ids, "root").join(degree, "text_key", "left").select("text_key", "root", "class_id", "copies", "links"), "classes")
     return (
@@ -341,12 +336,6 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def found_links(pairs: DataFrame, sources: DataFrame) -> DataFrame:
-    """The rows of ``pairs`` (a, b, root_a, root_b) whose similarity is high enough."""
-    similar = measured(pairs, sources).filter(F.col("similarity") >= THRESHOLD).select("a", "b")
-    return stored(pairs.join(similar, ["a", "b"], "left_semi"), "links")
-
-
 def root_links(links: DataFrame) -> DataFrame:
     return links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
@@ -357,15 +346,17 @@ def renamed_roots(rows: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(newer, "root", "left").withColumn("root", F.coalesce("newer", "root")).drop("newer")
 
 
-def candidates(apart: DataFrame, likeliest: bool) -> DataFrame:
-    """a, b, root_a, root_b: pairs of one hub and different roots that may be similar, each once, a below b.
+def joining_links(apart: DataFrame) -> DataFrame:
+    """a, b, root_a, root_b: similar pairs of one hub that connect all roots which similar pairs connect, a below b.
 
-    ``apart`` has hub, text_key, root, similarity (to the hub), bits. A hub's sketches
-    are dealt into blocks of about BLOCK, and each pair of blocks is one group, so that
-    no group grows with the hub. ``likeliest`` keeps one pair of each two roots: the
-    one whose registers differ least.
+    ``apart`` has hub, text_key, root, similarity (to the hub), bits, text. A hub's texts
+    are dealt into blocks of about BLOCK texts and BLOCK_BYTES, and each pair of blocks is one
+    group, so that no group grows with the hub. A group measures the pairs that their
+    sketches leave possible, likeliest first, and passes over those whose roots it has
+    connected already; only similar pairs leave it.
     """
-    sizes = apart.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    wanted = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)
+    sizes = apart.groupBy("hub").agg(F.greatest(F.ceil(wanted), F.lit(1)).alias("blocks"))
     rows = apart.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("text_key"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks")
@@ -373,42 +364,76 @@ def candidates(apart: DataFrame, likeliest: bool) -> DataFrame:
     def find(frame: pd.DataFrame) -> pd.DataFrame:
         low, high = frame["low"].iloc[0], frame["high"].iloc[0]
         frame = frame.sort_values("text_key")
-        own = frame["own"].to_numpy()
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        # A row for each long, so that a text meets all others in whole rows.
-        bits = np.ascontiguousarray(np.stack(frame["bits"]).view(U).T)
-        firsts, seconds = bits[:LONGS], bits[LONGS:]
-        facing = np.ascontiguousarray(bits[:, right])
-        near_hub, names = frame["similarity"].to_numpy(), pd.factorize(frame["root"])[0]
-        one, two, unlike = [], [], []
-        for i in left:
-            differ = np.zeros(len(right), dtype=np.int32)
-            for x, y, mine, yours in zip(facing[:LONGS], facing[LONGS:], firsts[:, i], seconds[:, i]):
-                differ += np.bitwise_count((x ^ mine) | (y ^ yours))
-            keep = (differ <= REGISTERS - LEAST_AGREE) & (names[right] != names[i])
-            if low == high:
-                keep &= right > i
-            # The distance 1 - similarity is a metric, so distances to the hub bound this one.
-            keep &= np.abs(near_hub[right] - near_hub[i]) <= 1 - THRESHOLD + 1e-9
-            one.append(np.full(int(keep.sum()), i))
-            two.append(right[keep])
-            unlike.append(differ[keep])
-        one, two, unlike = (np.concatenate([np.empty(0, dtype=int), *x]) for x in (one, two, unlike))
-        one, two = np.minimum(one, two), np.maximum(one, two)  # in the order of text_key
-        if likeliest:
-            ends = np.sort(np.stack([names[one], names[two]]), axis=0)
-            first = pd.DataFrame({"x": ends[0], "y": ends[1], "differ": unlike}).sort_values("differ", kind="stable")
-            kept = first.drop_duplicates(["x", "y"]).index.to_numpy()
-            one, two, unlike = one[kept], two[kept], unlike[kept]
-        keys, root = frame["text_key"].to_numpy(), frame["root"].to_numpy()
-        return pd.DataFrame({"a": keys[one], "b": keys[two], "root_a": root[one], "root_b": root[two], "differ": unlike})
-
-    found = rows.groupBy("hub", "low", "high").applyInPandas(find, "a binary, b binary, root_a binary, root_b binary, differ int")
-    if likeliest:
-        least, most = F.least("root_a", "root_b").alias("low"), F.greatest("root_a", "root_b").alias("high")
-        best = F.min(F.struct("differ", "a", "b", "root_a", "root_b")).alias("best")
-        return found.groupBy(least, most).agg(best).select("best.a", "best.b", "best.root_a", "best.root_b")
-    return found.drop("differ").distinct()
+        names = pd.factorize(frame["root"])[0]
+        one, two = possible_pairs(frame, names, frame["own"].to_numpy() == low, frame["own"].to_numpy() == high)
+        keys, root, texts_of = frame["text_key"].to_numpy(), frame["root"].to_numpy(), frame["text"].to_numpy()
+        numbers, sets = WordNumbers(), {}
+
+        def held(i: int):
+            if i not in sets:
+                sets[i] = shingles(texts_of[i], numbers)
+            return sets[i]
+
+        def similar(i: int, j: int) -> bool:
+            return probability_jaccard(held(i), held(j)) >= THRESHOLD
+
+        found = np.array(spanning(zip(one.tolist(), two.tolist()), names.tolist(), similar), dtype=int).reshape(-1, 2)
+        one, two = found[:, 0], found[:, 1]
+        return pd.DataFrame({"a": keys[one], "b": keys[two], "root_a": root[one], "root_b": root[two]})
+
+    found = rows.groupBy("hub", "low", "high").applyInPandas(find, "a binary, b binary, root_a binary, root_b binary")
+    return found.distinct()
+
+
+def spanning(pairs, names: list[int], similar) -> list[tuple[int, int]]:
+    """The pairs (i, j) that are similar and whose names no earlier such pair connects; other pairs are not measured."""
+    top = list(range(len(names)))
+
+    def name(i: int) -> int:
+        at = names[i]
+        while top[at] != at:
+            top[at] = top[top[at]]
+            at = top[at]
+        return at
+
+    out = []
+    for i, j in pairs:
+        x, y = name(i), name(j)
+        if x != y and similar(i, j):
+            top[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
+
+
+def possible_pairs(frame: pd.DataFrame, names: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers i below j of pairs of the left and right rows with unlike names that may be similar, likeliest first.
+
+    ``frame`` is in the order of text_key and has bits and similarity (to the hub).
+    """
+    same = bool((left == right).all())
+    left, right = np.flatnonzero(left), np.flatnonzero(right)
+    # A row for each long, so that a text meets all others in whole rows.
+    bits = np.ascontiguousarray(np.stack(frame["bits"]).view(U).T)
+    firsts, seconds = bits[:LONGS], bits[LONGS:]
+    facing = np.ascontiguousarray(bits[:, right])
+    near_hub = frame["similarity"].to_numpy()
+    one, two, unlike = [], [], []
+    for i in left:
+        differ = np.zeros(len(right), dtype=np.int32)
+        for x, y, mine, yours in zip(facing[:LONGS], facing[LONGS:], firsts[:, i], seconds[:, i]):
+            differ += np.bitwise_count((x ^ mine) | (y ^ yours))
+        keep = (differ <= REGISTERS - LEAST_AGREE) & (names[right] != names[i])
+        if same:
+            keep &= right > i
+        # The distance 1 - similarity is a metric, so distances to the hub bound this one.
+        keep &= np.abs(near_hub[right] - near_hub[i]) <= 1 - THRESHOLD + 1e-9
+        one.append(np.full(int(keep.sum()), i))
+        two.append(right[keep])
+        unlike.append(differ[keep])
+    one, two, unlike = (np.concatenate([np.empty(0, dtype=int), *x]) for x in (one, two, unlike))
+    one, two = np.minimum(one, two), np.maximum(one, two)  # in the order of text_key
+    order = np.lexsort((two, one, unlike))
+    return one[order], two[order]
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

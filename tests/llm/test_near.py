@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 from modelyard.llm.near import (
-    LEAST_AGREE, REGISTERS, THRESHOLD, WordNumbers, components, near_classes, one_of_each, op6_near_classes, packed_bits,
-    probability_jaccard, shingles, signatures,
+    LEAST_AGREE, REGISTERS, THRESHOLD, WordNumbers, components, joining_links, near_classes, one_of_each, op6_near_classes, packed_bits,
+    probability_jaccard, shingles, signatures, spanning,
 )
 
 
@@ -101,6 +101,28 @@ def test_equals_brute_force_with_families_and_edges(spark, monkeypatch):
     assert near_classes(docs.limit(0)).count() == 0 and one_of_each(docs.limit(0)).count() == 0
 
 
+def test_connected_pairs_are_not_measured():
+    measured = []
+    alike = lambda i, j: measured.append((i, j)) or (i < 50) == (j < 50)
+    found = spanning([(i, j) for i in range(100) for j in range(i + 1, 100)], list(range(100)), alike)
+    assert len(found) == 98 and len(measured) == 50 * 50 + 98  # of 4,950 pairs
+
+
+def test_near_copies_of_one_hub_give_no_row_for_each_pair(spark, monkeypatch):
+    """A group's rows are its links, which grow with its texts and not with their pairs, however it is dealt into blocks."""
+    rows = family(random.Random(6), 0, [f"w{i}" for i in range(200)], 60, 1)
+    sets = [shingles(t, WordNumbers()) for _, t in rows]
+    bits = [packed_bits(signatures(*x, np.array([len(x[0])])))[0].tolist() for x in sets]
+    frame = [(b"hub", b"%02d" % i, b"%02d" % i, 0.9, bits[i], t) for i, t in rows]
+    apart = spark.createDataFrame(frame, "hub binary, text_key binary, root binary, similarity double, bits array<long>, text string")
+    for size in (1024, 20):
+        monkeypatch.setattr("modelyard.llm.near.BLOCK", size)
+        links = joining_links(apart).collect()
+        assert all(probability_jaccard(sets[int(r.a)], sets[int(r.b)]) >= THRESHOLD and r.a < r.b for r in links)
+        blocks = -(-60 // size)
+        assert 59 <= len(links) < 60 * blocks**2 and len({x for r in links for x in (r.a, r.b)}) == 60
+
+
 def test_unlike_classes_with_the_same_or_no_smallest_id_keep_a_row_each(spark):
     words = lambda name: " ".join(f"{name}{i}" for i in range(40))
     rows = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("b") + " more"), (None, "")]
