@@ -70,4 +70,4 @@ def test_run_gives_all_rows(spark, steps):
 
 
 def test_every_operator_has_its_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)] and set(SQL) <= set(QUERIES)
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)] and set(SQL) <= set(QUERIES)
