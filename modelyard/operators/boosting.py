@@ -12,6 +12,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -27,10 +28,15 @@ from pyspark.sql import functions as F
 
 from modelyard.session import scratch_path
 
-# Cells of one chunk: what a task holds at once, and up to which one task grows all trees.
-CHUNK_CELLS = 1 << 17
+# Cells up to which one task grows all trees.
+ONE_TASK_CELLS = 1 << 17
+# Cells of one chunk: what a task works on at once, and what is dealt to tasks.
+CHUNK_CELLS = 1 << 14
+# Nodes whose sums travel in one row, and bytes of sums that a task holds before it passes them on.
+NODES = 32
+HELD_BYTES = 1 << 27
 # Rounds after which the scores of the cells are written again.
-REFRESH = 25
+REFRESH = 5
 # One row in so many is left out of training and watched by early stopping.
 WATCHED = 10
 EXACT = 2.0**52
@@ -70,10 +76,10 @@ class Tree:
             column.append(entry)
         return len(self.value) - 1
 
-    def leaf_of(self, bins: np.ndarray) -> np.ndarray:
-        """The number of the leaf that each row of bins falls into."""
+    def leaf_of(self, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """The number of the leaf that each row of bins falls into, coming from the root or from the nodes ``at``, which are moved."""
         feature, cut, left, right = (np.array(c) for c in (self.feature, self.bin, self.left, self.right))
-        at, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+        at, rows = np.zeros(len(bins), dtype=np.int64) if at is None else at, np.arange(len(bins))
         while len(rows := rows[left[at[rows]] >= 0]):
             here = at[rows]
             at[rows] = np.where(bins[rows, feature[here]] <= cut[here], left[here], right[here])
@@ -145,19 +151,24 @@ class Cells:
             return float((self.watched_q - 2 * s * self.watched_t[:, 0] + self.watched_n * s * s).sum())
         return float(-(self.watched_t * np.log(np.maximum(softmax(self.score), 1e-300))).sum())
 
-    def histograms(self, slopes, trees: list[Tree], asked: dict[int, list[int]], width: int) -> Iterator[tuple[int, int, np.ndarray]]:
-        """tree, feature and sums (gradient, curvature, rows; by node and bin) of the asked nodes of each tree."""
-        g, h = slopes
-        for tree, nodes in asked.items():
-            place = np.full(len(trees[tree].value), -1)
-            place[nodes] = np.arange(len(nodes))
-            at = place[trees[tree].leaf_of(self.bins)]
-            inside = at >= 0
-            at, bins = at[inside] * width, self.bins[inside]
-            parts = (g[inside, tree], h[inside, tree], self.n[inside])
-            for feature in range(bins.shape[1]):
-                key = at + bins[:, feature]
-                yield tree, feature, np.stack([np.bincount(key, p, minlength=len(nodes) * width) for p in parts]).reshape(3, len(nodes), width)
+    @cached_property
+    def columns(self) -> np.ndarray:
+        """The bins by feature."""
+        return np.ascontiguousarray(self.bins.T)
+
+    def sums(self, slopes, tree: int, at: np.ndarray, nodes: list[int], width: int) -> np.ndarray:
+        """Sums by feature, kind (gradient, curvature, rows), place in ``nodes`` and bin, of the cells that are ``at`` these nodes."""
+        place = np.full(max([*nodes, int(at.max(initial=0))]) + 1, -1)
+        place[nodes] = np.arange(len(nodes))
+        at = place[at]
+        rows = np.flatnonzero(at >= 0)
+        start, parts = at[rows] * width, [part[rows] for part in (slopes[0][:, tree], slopes[1][:, tree], self.n)]
+        out = np.empty((len(self.columns), 3, len(nodes), width))
+        for feature, column in enumerate(self.columns):
+            key = start + column[rows]
+            for kind, part in enumerate(parts):
+                out[feature, kind] = np.bincount(key, part, minlength=len(nodes) * width).reshape(len(nodes), width)
+        return out
 
 
 def softmax(scores: np.ndarray) -> np.ndarray:
@@ -170,22 +181,57 @@ def in_units(sums: np.ndarray, unit: float) -> np.ndarray:
 
 
 class OneTask:
-    """All sums from cells in memory."""
+    """All sums from cells in memory.
+
+    Of two siblings only the one with fewer cells is added up: sums are whole numbers
+    of units, so what is left of their parent's is exactly the other's.
+    """
 
     def __init__(self, cells: Cells, settings: Settings, unit: float, width: int) -> None:
         self.cells, self.settings, self.unit, self.width = cells, settings, unit, width
-        self.slopes = cells.slopes(settings, unit)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.slopes = self.cells.slopes(self.settings, self.unit)
+        self.at: dict[int, np.ndarray] = {}
+        self.kept: dict[tuple[int, int], np.ndarray] = {}
+
+    def _sums(self, k: int, tree: Tree, nodes: list[int]) -> np.ndarray:
+        at = self.at[k] = tree.leaf_of(self.cells.bins, self.at.get(k))
+        parents = {child: p for p, pair in enumerate(zip(tree.left, tree.right)) for child in pair if child > 0}
+        sizes, known, rest = np.bincount(at, minlength=len(tree.value)), set(nodes), {}
+        for node in nodes:
+            parent = parents.get(node)
+            if parent is not None and node == tree.left[parent] and tree.right[parent] in known and (k, parent) in self.kept:
+                few, many = sorted((node, tree.right[parent]), key=lambda n: sizes[n])
+                rest[many] = (parent, few)
+        added = [node for node in nodes if node not in rest]
+        place = {node: i for i, node in enumerate(nodes)}
+        out = np.empty((len(self.cells.columns), 3, len(nodes), self.width))
+        out[:, :, [place[node] for node in added]] = self.cells.sums(self.slopes, k, at, added, self.width)
+        for many, (parent, few) in rest.items():
+            np.subtract(self.kept[k, parent], out[:, :, place[few]], out=out[:, :, place[many]])
+        for node in nodes:
+            self.kept.pop((k, parents.get(node)), None)
+        room = HELD_BYTES // max(out[:, :, 0].nbytes, 1) - len(self.kept)
+        for node in nodes[: max(room, 0)]:
+            if not self.settings.depth or tree.depth[node] + 1 < self.settings.depth:
+                self.kept[k, node] = out[:, :, place[node]].copy()
+        return out
 
     def splits(self, trees: list[Tree], asked: dict[int, list[int]]) -> dict[tuple[int, int], Split]:
-        best: dict[int, list[Split | None]] = {tree: [None] * len(nodes) for tree, nodes in asked.items()}
-        for tree, feature, sums in self.cells.histograms(self.slopes, trees, asked, self.width):
-            best[tree] = best_cuts(in_units(sums, self.unit), feature, self.settings, best[tree])
-        return {(tree, node): split for tree, nodes in asked.items() for node, split in zip(nodes, best[tree]) if split}
+        out = {}
+        for k, nodes in asked.items():
+            best: list[Split | None] = [None] * len(nodes)
+            for feature, sums in enumerate(self._sums(k, trees[k], nodes)):
+                best = best_cuts(in_units(sums, self.unit), feature, self.settings, best)
+            out |= {(k, node): split for node, split in zip(nodes, best) if split}
+        return out
 
     def add(self, trees: list[Tree]) -> None:
         for k, tree in enumerate(trees):
             self.cells.score[:, k] += tree.scores(self.cells.bins)
-        self.slopes = self.cells.slopes(self.settings, self.unit)
+        self._begin()
 
     def watched_loss(self) -> float:
         return self.cells.watched_loss(self.settings)
@@ -212,8 +258,13 @@ def packed(cells: Cells) -> list[bytes]:
     return [np.ascontiguousarray(getattr(cells, c)).tobytes() for c in CHUNK_NAMES]
 
 
+def spread(chunks: DataFrame) -> DataFrame:
+    """The chunks kept for passes over all cores, however few files they lie in."""
+    return chunks.repartition(chunks.sparkSession.sparkContext.defaultParallelism).persist()
+
+
 class ManyTasks:
-    """Sums over a table of chunks: tasks add up their cells, Spark the tasks' sums, and each node's features are compared."""
+    """Sums over a table of chunks: tasks add up their cells, one group of each feature the tasks' sums, and each node's features are compared."""
 
     def __init__(self, chunks: DataFrame, settings: Settings, unit: float, width: int, features: int, classes: int) -> None:
         self.chunks, self.settings, self.unit, self.width = chunks, settings, unit, width
@@ -236,30 +287,39 @@ class ManyTasks:
     def splits(self, trees: list[Tree], asked: dict[int, list[int]]) -> dict[tuple[int, int], Split]:
         own, since, settings, unit, width = self._parts(), self.since, self.settings, self.unit, self.width
 
+        blocks = [(k, nodes[i : i + NODES]) for k, nodes in asked.items() for i in range(0, len(nodes), NODES)]
+
         def sums(batches):
+            held: dict[int, np.ndarray] = {}
+
+            def rows():
+                for block, found in held.items():
+                    yield pd.DataFrame({"block": block, "feature": np.arange(len(found)), "sums": [f.tobytes() for f in found]})
+                held.clear()
+
             for cells in own._cells(batches, since):
-                slopes = cells.slopes(settings, unit)
-                for tree, feature, found in cells.histograms(slopes, trees, asked, width):
-                    node, at = np.nonzero(found[2])
-                    sums_ = dict(zip("ghn", found[:, node, at]))
-                    yield pd.DataFrame({"tree": tree, "node": np.array(asked[tree])[node], "feature": feature, "bin": at, **sums_})
+                slopes, at = cells.slopes(settings, unit), {k: trees[k].leaf_of(cells.bins) for k in asked}
+                for block, (k, nodes) in enumerate(blocks):
+                    found = cells.sums(slopes, k, at[k], nodes, width)
+                    held[block] = held[block] + found if block in held else found
+                    if sum(h.nbytes for h in held.values()) > HELD_BYTES:
+                        yield from rows()
+            yield from rows()
 
         def best(frame: pd.DataFrame) -> pd.DataFrame:
-            by_bin = np.zeros((3, 1, width))
-            by_bin[:, 0, frame["bin"]] = frame[["g", "h", "n"]].to_numpy().T
-            tree, node, feature = (int(frame[c].iloc[0]) for c in ("tree", "node", "feature"))
-            split = best_cuts(in_units(by_bin, unit), feature, settings, [None])[0]
-            return pd.DataFrame([(tree, node, json.dumps(asdict(split)))], columns=["tree", "node", "split"])
-
-        summed = self.chunks.mapInPandas(sums, "tree int, node int, feature int, bin int, g double, h double, n double")
-        summed = summed.groupBy("tree", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
-        rows = summed.groupBy("tree", "node", "feature").applyInPandas(best, "tree int, node int, split string").collect()
+            block, feature = int(frame["block"].iloc[0]), int(frame["feature"].iloc[0])
+            summed = sum(np.frombuffer(part) for part in frame["sums"]).reshape(3, len(blocks[block][1]), width)
+            found = best_cuts(in_units(summed, unit), feature, settings, [None] * summed.shape[1])
+            return pd.DataFrame([(block, feature, json.dumps([asdict(split) for split in found]))], columns=["block", "feature", "splits"])
+
+        parts = self.chunks.mapInPandas(sums, "block int, feature int, sums binary")
+        rows = parts.groupBy("block", "feature").applyInPandas(best, "block int, feature int, splits string").collect()
         found: dict[tuple[int, int], Split] = {}
-        for row in sorted(rows, key=lambda r: json.loads(r.split)["feature"]):
-            values = json.loads(row.split)
-            split = Split(values["gain"], values["feature"], values["bin"], tuple(values["sums"]), tuple(values["left"]))
-            if (row.tree, row.node) not in found or split.gain > found[row.tree, row.node].gain:
-                found[row.tree, row.node] = split
+        for row in sorted(rows, key=lambda r: (r.block, r.feature)):
+            k, nodes = blocks[row.block]
+            for node, values in zip(nodes, json.loads(row.splits)):
+                if (k, node) not in found or values["gain"] > found[k, node].gain:
+                    found[k, node] = Split(values["gain"], values["feature"], values["bin"], tuple(values["sums"]), tuple(values["left"]))
         return found
 
     def add(self, trees: list[Tree]) -> None:
@@ -269,7 +329,8 @@ class ManyTasks:
             path = scratch_path(self.chunks.sparkSession, "boosted-cells")
             fresh = self.chunks.mapInPandas(lambda batches: (pd.DataFrame([packed(c)], columns=CHUNK_NAMES) for c in own._cells(batches, since)), CHUNK)
             fresh.write.parquet(path)
-            self.chunks, self.since = self.chunks.sparkSession.read.parquet(path), []
+            self.chunks.unpersist()
+            self.chunks, self.since = spread(self.chunks.sparkSession.read.parquet(path)), []
 
     def watched_loss(self) -> float:
         own, since, settings = self._parts(), self.since, self.settings
@@ -426,11 +487,14 @@ def merged(chunks: list[Cells]) -> Cells:
     return Cells(*(p[order] for p in parts))
 
 
-def fit_rounds(chunks: DataFrame, settings: Settings, unit: float, width: int, features: int, classes: int, one_task_cells: int = CHUNK_CELLS) -> list[list[Tree]]:
+def fit_rounds(chunks: DataFrame, settings: Settings, unit: float, width: int, features: int, classes: int, one_task_cells: int = ONE_TASK_CELLS) -> list[list[Tree]]:
     """The rounds of trees. Up to ``one_task_cells`` cells are boosted by one task, more by passes over all tasks; the trees are the same."""
     n_cells = chunks.agg(F.sum(F.length("n")) / 8).first()[0] or 0
     if n_cells > one_task_cells:
-        return boosted(ManyTasks(chunks, settings, unit, width, features, classes), settings, classes)
+        sums = ManyTasks(spread(chunks), settings, unit, width, features, classes)
+        rounds = boosted(sums, settings, classes)
+        sums.chunks.unpersist()
+        return rounds
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         cells = merged([unpacked(r, features, classes) for r in frame.to_dict("records")])

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 GAMMA, SIZE = 0.001, 256
 # Vectors that a task holds the features of at once.
 AT_ONCE = 512
+# Classes whose machines are fitted side by side: each is a row of short passes, which leave cores idle.
+CLASSES_AT_ONCE = 4
 
 
 def in_pieces(batch: pd.Series, directions: np.ndarray) -> Iterator[pd.Series]:
@@ -73,4 +75,4 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
 def kernel_svm(label: str, gamma: float = GAMMA, size: int = SIZE, seed: int = 42, **params) -> Pipeline:
     """A support vector machine with a radial kernel for each class."""
     machine = LinearSVC(featuresCol="waves", **params)
-    return Pipeline(stages=[FourierFeatures(gamma=gamma, size=size, seed=seed), OneVsRest(featuresCol="waves", labelCol=label, classifier=machine)])
+    return Pipeline(stages=[FourierFeatures(gamma=gamma, size=size, seed=seed), OneVsRest(featuresCol="waves", labelCol=label, classifier=machine, parallelism=CLASSES_AT_ONCE)])

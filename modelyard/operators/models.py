@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,11 +21,13 @@ from pyspark.sql import functions as F
 
 from modelyard.operators.boosting import HistBoosterModel, hist_regressor, joint_classifier
 from modelyard.operators.classification import accuracy
-from modelyard.operators.kernel import kernel_svm
+from modelyard.operators.kernel import CLASSES_AT_ONCE, kernel_svm
 from modelyard.operators.regression import regression_metrics
 from modelyard.operators.registry import leaderboard
 
 SEED = 42
+# Models of a comparison that are fitted side by side.
+MODELS_AT_ONCE = 3
 
 
 # --- estimators ------------------------------------------------------------
@@ -62,7 +66,7 @@ def _tree(label: str, **params) -> Estimator:
 
 def _linear_svm(label: str, **params) -> Estimator:
     """A linear support vector machine per class; ``kernel_svm`` is the one with a radial kernel."""
-    return OneVsRest(labelCol=label, classifier=LinearSVC(**params))
+    return OneVsRest(labelCol=label, classifier=LinearSVC(**params), parallelism=CLASSES_AT_ONCE)
 
 
 CLASSIFIERS = {
@@ -88,16 +92,25 @@ def assembled(features: list[str], stages: list) -> Pipeline:
 # --- training and comparison -----------------------------------------------
 
 
-def compare_regressors(
-    train: DataFrame, test: DataFrame, label: str, models: dict[str, Pipeline]
-) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Leaderboard (rank, model, rmse, mae, r2) by RMSE, and the fitted models.
+def fit_all(train: DataFrame, models: dict[str, Pipeline]) -> dict[str, PipelineModel]:
+    """The fitted models, a few fitted side by side: where one waits for its next pass, or has work for few tasks, others use the cores.
 
     Each fit reads the training rows several times, so they are kept meanwhile.
     """
     train = train.persist()
-    fitted = {name: pipeline.fit(train) for name, pipeline in models.items()}
-    train.unpersist()
+    fits = [inheritable_thread_target(train.sparkSession)(partial(pipeline.fit, train)) for pipeline in models.values()]
+    try:
+        with ThreadPool(MODELS_AT_ONCE) as pool:
+            return dict(zip(models, pool.map(lambda fit: fit(), fits, chunksize=1)))
+    finally:
+        train.unpersist()
+
+
+def compare_regressors(
+    train: DataFrame, test: DataFrame, label: str, models: dict[str, Pipeline]
+) -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Leaderboard (rank, model, rmse, mae, r2) by RMSE, and the fitted models."""
+    fitted = fit_all(train, models)
     scored = [
         regression_metrics(model.transform(test), label, "prediction").select(
             F.lit(name).alias("model"), "rmse", "mae", "r2"
@@ -111,9 +124,7 @@ def compare_regressors(
 def compare_classifiers(
     train: DataFrame, test: DataFrame, label: str, models: dict[str, Pipeline]
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    train = train.persist()
-    fitted = {name: pipeline.fit(train) for name, pipeline in models.items()}
-    train.unpersist()
+    fitted = fit_all(train, models)
     scored = [
         accuracy(model.transform(test), label, "prediction").select(F.lit(name).alias("model"), "n", "accuracy")
         for name, model in fitted.items()

@@ -145,3 +145,25 @@ def test_edges(spark):
     assert {r.prediction for r in empty.transform(df).collect()} == {0.0}
     same = b.booster("label", rounds=2).fit(df.withColumn("label", F.lit(4.0)))
     assert {r.prediction for r in same.transform(df).collect()} == {4.0}
+
+
+def test_many_cells_are_dealt_to_many_tasks(spark):
+    x = np.random.default_rng(5).integers(0, 200, (20_000, 3)).astype(float)
+    rows = spark.createDataFrame([(list(map(float, r)), 1.0, False) for r in x], "x array<double>, y double, watched boolean")
+    chunks = b.chunked(rows, b.feature_cuts(rows, 3, 255), 1, False, [1.0]).cache()
+    assert max(r.n for r in chunks.select(F.expr("length(n) / 8").alias("n")).collect()) <= 1 << 14
+    assert b.spread(chunks).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_of_two_siblings_one_is_added_up(monkeypatch):
+    rng = np.random.default_rng(6)
+    bins, n, t = rng.integers(0, 30, (1000, 2)).astype(np.uint8), np.ones(1000), rng.normal(size=(1000, 1))
+    cells, added = b.Cells(bins, n, t, n * 0, t * 0, n * 0, np.zeros((1000, 1))), []
+    sums = b.Cells.sums
+    monkeypatch.setattr(b.Cells, "sums", lambda self, slopes, tree, at, nodes, width: added.append(int(np.isin(at, nodes).sum())) or sums(self, slopes, tree, at, nodes, width))
+    settings = b.Settings(rounds=1, depth=4, leaves=0, min_rows=1)
+    one = b.boosted(b.OneTask(cells, settings, 2.0**-30, 32), settings, 1)
+    assert added[0] == 1000 and len(added) == 4 and max(added[1:]) <= 500
+    monkeypatch.setattr(b, "HELD_BYTES", 0)
+    assert b.boosted(b.OneTask(b.Cells(bins, n, t, n * 0, t * 0, n * 0, np.zeros((1000, 1))), settings, 2.0**-30, 32), settings, 1) == one
+    assert max(added[4:]) == 1000

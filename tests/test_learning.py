@@ -1,4 +1,5 @@
 import math
+import threading
 from collections import Counter
 from functools import partial
 
@@ -155,6 +156,23 @@ def test_parameters(spark):
     assert (found["maxDepth"], found["seed"], found["maxBins"]) == ("3", "33", "32")
 
 
+def test_compared_models_are_fitted_side_by_side(line):
+    together, linear = threading.Barrier(2, timeout=60), M.assembled(FEATURES, M.scaled_linear("y"))
+
+    class Meeting:
+        def fit(self, rows):
+            together.wait()
+            return linear.fit(rows)
+
+    board, fitted = M.compare_regressors(line, line, "y", {"one": Meeting(), "two": Meeting()})
+    assert [r.model for r in board.orderBy("rank", "model").collect()] == ["one", "two"] == list(fitted)
+
+
+def test_machines_of_classes_are_fitted_side_by_side():
+    assert M.classifier("linear_svm", "label").getParallelism() > 1
+    assert M.classifier("kernel_svm", "label").getStages()[-1].getParallelism() > 1
+
+
 @pytest.mark.parametrize("search", [S.search_inside, S.search_last])
 def test_grid_search(spark, line, search):
     forest = RandomForestRegressor(labelCol="y", maxBins=40, seed=1)
