@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 from functools import cached_property
 
@@ -40,6 +41,8 @@ REFRESH = 5
 # One row in so many is left out of training and watched by early stopping.
 WATCHED = 10
 EXACT = 2.0**52
+# Cells, seen or not, up to which a task keeps their scores.
+TABLE_CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -578,6 +581,32 @@ def feature_cuts(rows: DataFrame, size: int, bins: int) -> list[list[float]]:
     return out
 
 
+def scorer(model: dict) -> Callable[[np.ndarray], np.ndarray]:
+    """Scores by class of rows of values. Where features have few bins, each cell is scored once, however many rows it has."""
+    rounds = [[Tree(**t) for t in trees] for trees in model["rounds"]]
+    start, sizes = np.array(model["start"], dtype=float), [len(at) + 2 for at in model["cuts"]]
+
+    def scored(bins: np.ndarray) -> np.ndarray:
+        sums = np.tile(start, (len(bins), 1))
+        for trees in rounds:
+            for k, tree in enumerate(trees):
+                sums[:, k] += tree.scores(bins)
+        return softmax(sums) if model["loss"] == "softmax" else sums
+
+    if math.prod(sizes) > TABLE_CELLS:
+        return lambda values: scored(binned(values, model["cuts"]))
+    known, table = np.zeros(math.prod(sizes), dtype=bool), np.empty((math.prod(sizes), len(start)))
+
+    def looked_up(values: np.ndarray) -> np.ndarray:
+        bins = binned(values, model["cuts"])
+        cell = np.ravel_multi_index(tuple(bins.T), sizes) if sizes else np.zeros(len(bins), dtype=int)
+        new, first = np.unique(cell[~known[cell]], return_index=True)
+        table[new], known[new] = scored(bins[~known[cell]][first]), True
+        return table[cell]
+
+    return looked_up
+
+
 class HistBoosterModel(Model, _BoosterParams, MLWritable, MLReadable):
     """Prediction, and for classes probability, of the features."""
 
@@ -612,21 +641,13 @@ class HistBoosterModel(Model, _BoosterParams, MLWritable, MLReadable):
 
         @F.pandas_udf("array<double>")
         def score(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = json.loads(body)
-            rounds = [[Tree(**t) for t in trees] for trees in model["rounds"]]
+            scores_of = scorer(json.loads(body))
             for column in columns:
                 there = column.notna().to_numpy()
                 out: list[list[float] | None] = [None] * len(column)
                 if there.any():
-                    bins = binned(np.stack(column[there]).astype(float), model["cuts"])
-                    sums = np.tile(np.array(model["start"], dtype=float), (len(bins), 1))
-                    for trees in rounds:
-                        for k, tree in enumerate(trees):
-                            sums[:, k] += tree.scores(bins)
-                    if model["loss"] == "softmax":
-                        sums = softmax(sums)
-                    for at, line in zip(np.flatnonzero(there), sums):
-                        out[at] = line.tolist()
+                    for at, line in zip(np.flatnonzero(there), scores_of(np.stack(column[there]).astype(float)).tolist()):
+                        out[at] = line
                 yield pd.Series(out, dtype=object)
 
         scores = score(vector_to_array(F.col(self.getFeaturesCol())))

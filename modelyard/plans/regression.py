@@ -98,8 +98,10 @@ class RegressionJob:
         models = self.models or default_models(self.features, self.label)
         test = self._part("test")
         board, fitted = compare_regressors(self._part("train"), test, self.label, models)
+        board = board.persist()  # three rows, for which all models score all held-out rows
         write_single_csv(board, self.path("leaderboard"))
         write_document(board, self.path("metrics"))
+        board.unpersist()
         best = self.spark.read.schema(board.schema).json(self.path("metrics")).filter("rank = 1").first()["model"]
         model = fitted[best]
         model.write().overwrite().save(self.path("best_model"))

@@ -167,3 +167,16 @@ def test_of_two_siblings_one_is_added_up(monkeypatch):
     monkeypatch.setattr(b, "HELD_BYTES", 0)
     assert b.boosted(b.OneTask(b.Cells(bins, n, t, n * 0, t * 0, n * 0, np.zeros((1000, 1))), settings, 2.0**-30, 32), settings, 1) == one
     assert max(added[4:]) == 1000
+
+
+def test_a_cell_is_scored_once(monkeypatch):
+    tree = b.Tree(feature=[1, 0, 0], bin=[0, 0, 0], left=[1, -1, -1], right=[2, -1, -1], value=[0.0, 1.5, -2.0], gain=[1.0, 0.0, 0.0], depth=[0, 1, 1])
+    model = {"loss": "squared", "start": [10.0], "cuts": [[0.5, 1.5], [3.0]], "rounds": [[vars(tree)], [vars(tree)]]}
+    values = np.array([[0.0, 1.0], [1.0, 9.0], [np.nan, np.nan], [0.0, 2.0]] * 50)
+    scored, leaf_of = [], b.Tree.leaf_of
+    monkeypatch.setattr(b.Tree, "leaf_of", lambda self, bins, at=None: scored.append(len(bins)) or leaf_of(self, bins, at))
+    scores = b.scorer(model)
+    assert scores(values).ravel().tolist() == [13.0, 6.0, 6.0, 13.0] * 50 and scored == [3, 3]
+    assert scores(values[:7]).ravel().tolist() == ([13.0, 6.0, 6.0, 13.0] * 2)[:7] and sum(scored) == 6
+    monkeypatch.setattr(b, "TABLE_CELLS", 0)
+    assert b.scorer(model)(values).ravel().tolist() == [13.0, 6.0, 6.0, 13.0] * 50

@@ -10,6 +10,7 @@ from modelyard.operators.contract import ContractError
 from modelyard.operators.conversations import histories
 from modelyard.operators.models import assembled, scaled_linear
 from modelyard.operators.report import markdown_table
+from modelyard.plans import regression
 from modelyard.plans.monitoring import DONE, SKIPPED, ScoringJob
 from modelyard.plans.regression import RegressionJob
 from modelyard.plans.table_lab import load
@@ -205,6 +206,17 @@ def houses(spark):
     return spark.range(300).select("id", x.alias("x"), (x + (F.hash("id") % 100) / 1000 + 0.2).alias("target")).cache()
 
 
+def test_held_out_rows_are_scored_once_for_the_board(spark, houses, tmp_path, monkeypatch):
+    kept = {}
+    for writer in ("write_single_csv", "write_document"):
+        write = getattr(regression, writer)
+        monkeypatch.setattr(regression, writer, lambda df, path, write=write: (kept.update({path: df.storageLevel.useMemory}), write(df, path)))
+    job = regression_job(spark, tmp_path)
+    job.prepare(houses)
+    job.train()
+    assert kept[job.path("leaderboard")] and kept[job.path("metrics")]
+
+
 def test_regression_job(spark, houses, tmp_path):
     job = regression_job(spark, tmp_path)
     text = job.run(houses).first().report
