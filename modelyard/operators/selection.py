@@ -26,12 +26,21 @@ def with_fold(df: DataFrame, key: list[str], folds: int = 3, seed: int = 42) ->
     return df.withColumn(FOLD, fold_number(seed, folds, *key))
 
 
+class LastStageValidator(CrossValidator):
+    """Each fold's rows are kept with the columns that the model and the evaluator read, not whole."""
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        readers = [self.getEstimator(), self.getEvaluator()]
+        read = [r.getOrDefault(p) for r in readers for p in r.params if p.name in ("featuresCol", "labelCol", "weightCol") and r.isDefined(p)]
+        return super()._fit(dataset.select(*dict.fromkeys([*filter(None, read), self.getFoldCol()])))
+
+
 def cross_validated(
     estimator: Estimator, param_maps: list[dict], evaluator: Evaluator, folds: int = 3, seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 4, kind: type[CrossValidator] = CrossValidator,
 ) -> CrossValidator:
     """Rows must carry a ``fold`` column, so that folds do not depend on partitions."""
-    return CrossValidator(
+    return kind(
         estimator=estimator, estimatorParamMaps=param_maps, evaluator=evaluator, numFolds=folds,
         seed=seed, foldCol=FOLD, parallelism=parallelism,
     )
@@ -45,7 +54,7 @@ def search_inside(stages: list, model: Estimator, param_maps: list[dict], evalua
 def search_last(stages: list, model: Estimator, param_maps: list[dict], evaluator: Evaluator, **options) -> Pipeline:
     """Feature stages learnt once on all rows, then the search: quicker, but
     held-out rows have had a say in the features."""
-    return Pipeline(stages=[*stages, cross_validated(model, param_maps, evaluator, **options)])
+    return Pipeline(stages=[*stages, cross_validated(model, param_maps, evaluator, kind=LastStageValidator, **options)])
 
 
 def search_results(spark: SparkSession, fitted: CrossValidatorModel, metric: str = "rmse") -> DataFrame:

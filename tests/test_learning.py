@@ -173,6 +173,19 @@ def test_machines_of_classes_are_fitted_side_by_side():
     assert M.classifier("kernel_svm", "label").getStages()[-1].getParallelism() > 1
 
 
+def test_a_search_of_the_last_stage_keeps_what_it_reads(line, monkeypatch):
+    seen, fit = [], S.CrossValidator._fit
+    monkeypatch.setattr(S.CrossValidator, "_fit", lambda self, df: seen.append(df.columns) or fit(self, df))
+    forest = RandomForestRegressor(labelCol="y", numTrees=2, seed=1)
+    evaluator = RegressionEvaluator(labelCol="y", predictionCol="prediction")
+    folded = S.with_fold(line, ["id"], 2)
+    own = S.search_last(X.index_stages([], FEATURES), forest, S.grid(forest, maxDepth=[2, 3]), evaluator, folds=2).fit(folded)
+    assert seen == [["features", "y", "fold"]]
+    plain = Pipeline(stages=[*X.index_stages([], FEATURES), S.cross_validated(forest, S.grid(forest, maxDepth=[2, 3]), evaluator, folds=2)]).fit(folded)
+    assert own.stages[-1].avgMetrics == plain.stages[-1].avgMetrics
+    assert "id" in own.transform(line).columns
+
+
 @pytest.mark.parametrize("search", [S.search_inside, S.search_last])
 def test_grid_search(spark, line, search):
     forest = RandomForestRegressor(labelCol="y", maxBins=40, seed=1)
